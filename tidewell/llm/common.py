@@ -57,3 +57,27 @@ def text_or_empty(name: str = "text") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows of a lookup table that is broadcast at most; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 20_000
+
+
+def small_or_shuffled(lookup: DataFrame) -> DataFrame:
+    """``lookup`` with a broadcast hint if a count proves it small; materialise it before."""
+    return F.broadcast(lookup) if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lookup
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a lambda variable bound to ``value``, which is then computed once a row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words(text: Column) -> Column:
+    """The words of a text as an array: longest runs of characters other than SPACE."""
+    bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE + "+"))
+
+
+def n_words(text: Column) -> Column:
+    return F.size(words(F.coalesce(text, F.lit("")))).cast("long")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import packing, sharding
-from tidewell.llm.common import table
+from tidewell.llm import mixing, oracles, packing, quality_rules, secrets, sharding
+from tidewell.llm.common import scratch, table
 
 SHARDS = 16
 
@@ -24,9 +24,38 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    versions = secrets.with_blob(docs).select("doc_id", "blob_id")
+    ledger = scratch(spark, "blob-ledger")
+    secrets.update(secrets.with_blob(docs), ledger)
+    found = secrets.findings(spark, ledger)
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    of_kind = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    counted = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    digests = found.select("blob_id", *counted, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+    none = {"n_assign": F.lit(0).cast("long"), "n_access": F.lit(0).cast("long"), "n_hex": F.lit(0).cast("long"), "base_sha256": F.sha2(F.lit(""), 256), "spans": F.lit("")}
+    return versions.join(digests, "blob_id", "left").select("doc_id", *[F.coalesce(c, v).alias(c) for c, v in none.items()])
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return quality_rules.rate(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
+    "op4_secret_scans": op4_secret_scans,
+    "op9_mixing": op9_mixing,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_secret_scans": oracles.secret_scans(),
+    "op10_quality_rules": oracles.quality_verdicts(),
+}
