@@ -12,7 +12,7 @@ document's size.
 A source may hold a third of all rows, so ranks are never gathered by source.
 Two rounds of histograms over (source, rank interval), each aggregated where
 the rows are, narrow the cut to one rank interval in 4096**2, and only that
-interval's rows are put in order. At last the one document whose addition or
+interval's rows are put in order. At last, SWAPS times, the one document whose addition or
 removal brings the source nearest to its target changes sides.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import common
 
 BINS = 4096
+SWAPS = 3
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
@@ -105,15 +106,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
 
     x = _position(F.col("_part"), F.col("_mean"))
     drawn = F.coalesce(F.col("_last").isNull() & x.isNotNull() & (F.col("_rest") > 0) | (F.struct(x.alias("_x"), F.col("_row")) <= F.col("_last")) & x.isNotNull(), F.lit(False))
-    sides = _join(rows.select("source", "size", "_u", "_row"), plan).withColumn("_drawn", drawn)
-    error = common.materialise(sides.groupBy("source").agg((F.first("_rest") - F.sum(F.when(F.col("_drawn"), F.col("size")).otherwise(0))).alias("_error")), "mix-error")
-    change = F.when(F.col("_drawn"), -F.col("size")).otherwise(F.col("size"))
-    near = _join(sides.where((F.col("size") > 0) & (F.col("_whole") < cap)), error).withColumn("_off", F.abs(F.col("_error") - change))
-    swap = near.where(F.col("_off") < F.abs("_error")).groupBy("source").agg(F.min(F.struct("_off", "_row"))["_row"].alias("_swap"))
-    plan = plan.withColumnRenamed("source", "_s").join(swap, F.col("_s").eqNullSafe(F.col("source")), "left").drop("source").withColumnRenamed("_s", "source")
-    plan = common.materialise(plan, "mix-plan")
-
-    done = _join(rows, plan).withColumn("_extra", F.when(F.col("_row") == F.col("_swap"), ~drawn).otherwise(drawn))
+    plan = plan.withColumn("_swaps", F.array().cast("array<long>"))
+    swapped = drawn != F.array_contains("_swaps", F.col("_row"))
+    for _ in range(SWAPS):
+        sides = _join(rows.select("source", "size", "_u", "_row"), plan).withColumn("_drawn", swapped)
+        error = sides.groupBy("source").agg((F.first("_rest") - F.sum(F.when(F.col("_drawn"), F.col("size")).otherwise(0))).alias("_error"))
+        change = F.when(F.col("_drawn"), -F.col("size")).otherwise(F.col("size"))
+        near = _join(sides.where((F.col("size") > 0) & (F.col("_whole") < cap)), common.materialise(error, "mix-error")).withColumn("_off", F.abs(F.col("_error") - change))
+        swap = near.where(F.col("_off") < F.abs("_error")).groupBy(F.col("source").alias("_s")).agg(F.min(F.struct("_off", "_row"))["_row"].alias("_swap"))
+        plan = plan.join(swap, F.col("_s").eqNullSafe(F.col("source")), "left").drop("_s")
+        plan = plan.withColumn("_swaps", F.when(F.col("_swap").isNull(), F.col("_swaps")).otherwise(F.concat("_swaps", F.array("_swap")))).drop("_swap")
+        plan = common.materialise(plan, "mix-plan")
+
+    done = _join(rows, plan).withColumn("_extra", swapped)
     copies = F.when(F.col("size") > 0, F.col("_whole") + F.col("_extra").cast("int")).otherwise(0)
     done = done.withColumn("copies", copies.cast("int")).withColumn("taken", F.col("copies") * F.col("size"))
     columns = docs.columns if keep else ["doc_id"]
