@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, oracles, packing, quality_rules, secrets, sharding
+from tidewell.llm import mixing, oracles, packing, quality_rules, secrets, sharding, toxicity
 from tidewell.llm.common import scratch, table
 
 SHARDS = 16
+#: Labelled rows that a classifier is fitted on at most.
+LABELLED_ROWS = 8000
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", LABELLED_ROWS))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_secret_scans": op4_secret_scans,
