@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, oracles, packing, quality_rules, secrets, sharding, toxicity
+from tidewell.llm import mixing, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity
 from tidewell.llm.common import scratch, table
 
 SHARDS = 16
@@ -47,6 +47,13 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.join(digests, "blob_id", "left").select("doc_id", *[F.coalesce(c, v).alias(c) for c, v in none.items()])
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.train(quality_classifier.graded(docs, table(spark, sf_dir, "labels"), LABELLED_ROWS), levels=3)
+    rated = quality_classifier.rate(docs, model).select("doc_id", "expected_grade", "p_tail")
+    return rated.withColumn("kept", F.col("p_tail") >= 0.5)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -61,6 +68,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_secret_scans": op4_secret_scans,
+    "op5_quality_classifier": op5_quality_classifier,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.llm import common
 
@@ -77,7 +78,7 @@ def shuffle(docs: DataFrame, shards: int, path: str, seed: int = 20, bucket_byte
 
     keyed = scattered.withColumn("_order", F.xxhash64("doc_id", "text"))
     dealt = keyed.repartitionById(int(buckets), F.col("bucket").cast("int"))
-    schema = scattered.schema.add("place", "long")
+    schema = StructType([*scattered.schema, *StructType().add("place", "long")])
     dealt.mapInArrow(pass_two, schema).write.parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
