@@ -62,3 +62,13 @@ def quality_verdicts() -> str:
     judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
         FROM counts JOIN bounds ON lang IS NOT DISTINCT FROM l AND source IS NOT DISTINCT FROM s)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {passes} AS kept FROM judged"""
+
+
+def warc_records(least: int) -> str:
+    return f"""
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    rows AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+        CASE WHEN strlen(html) >= {least} THEN max(page_id) OVER (PARTITION BY html) END AS first FROM payloads)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM rows"""

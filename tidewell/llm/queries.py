@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity
+from tidewell.llm import mixing, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity, warc
 from tidewell.llm.common import scratch, table
 
 SHARDS = 16
@@ -54,6 +54,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.withColumn("kept", F.col("p_tail") >= 0.5)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages"), scratch(spark, "warc")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -69,11 +73,13 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_warc": op6_warc,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
     "op4_secret_scans": oracles.secret_scans(),
+    "op6_warc": oracles.warc_records(warc.REVISIT_BYTES),
     "op10_quality_rules": oracles.quality_verdicts(),
 }
