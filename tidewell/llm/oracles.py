@@ -72,3 +72,14 @@ def warc_records(least: int) -> str:
     SELECT page_id, payload_bytes, payload_digest,
         CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM rows"""
+
+
+def nearest_vectors() -> str:
+    """Brute force; equal to the index while a table is small enough to be searched whole."""
+    return """
+    WITH fine AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+    pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)], lambda a, b: a + b) AS score
+        FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND c.vec_id != q.vec_id)
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+    FROM pairs QUALIFY rank <= 20"""

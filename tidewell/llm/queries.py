@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity, warc
+from tidewell.llm import mixing, multi_index, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity, warc
 from tidewell.llm.common import scratch, table
 
 SHARDS = 16
@@ -58,6 +58,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages"), scratch(spark, "warc")))
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_warc": op6_warc,
+    "op8_multi_index": op8_multi_index,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -81,5 +87,6 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op4_secret_scans": oracles.secret_scans(),
     "op6_warc": oracles.warc_records(warc.REVISIT_BYTES),
+    "op8_multi_index": oracles.nearest_vectors(),
     "op10_quality_rules": oracles.quality_verdicts(),
 }
