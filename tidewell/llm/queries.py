@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, multi_index, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity, warc
+from tidewell.llm import jaccard_join, mixing, multi_index, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity, warc
 from tidewell.llm.common import scratch, table
 
 SHARDS = 16
@@ -58,6 +58,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages"), scratch(spark, "warc")))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return multi_index.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
@@ -79,6 +83,7 @@ QUERIES = {
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_warc": op6_warc,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_multi_index": op8_multi_index,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
