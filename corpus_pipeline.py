@@ -43,10 +43,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret in every text by its kind in brackets; no document goes."""
     scanned = secrets.scan(docs, common.scratch(spark, "blob-ledger"))
-    text = secrets.redact(F.col("text"), F.col("secret_spans"))
-    changed = F.size("secret_spans") > 0
-    made = {"text": text} | ({"n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return scanned.withColumns(made).select(*docs.columns)
+    redacted = scanned.withColumn("_redacted", secrets.redact(F.col("text"), F.col("secret_spans")))
+    made = {"text": F.col("_redacted")}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(F.size("secret_spans") > 0, F.length("_redacted").cast("long")).otherwise(F.col("n_chars"))
+    return redacted.select(*[made[c].alias(c) if c in made else c for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
