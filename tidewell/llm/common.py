@@ -41,7 +41,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read._tidewell_path = path
+    return read
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -51,6 +53,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that no later step reads, and let Spark drop the shuffle files that led to them."""
+    for t in tables:
+        remove(t.sparkSession, t._tidewell_path)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

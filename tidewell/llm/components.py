@@ -26,7 +26,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = common.materialise(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        last, edges = edges, common.materialise(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        common.remove(edges.sparkSession, last._tidewell_path)
         now = _state(edges)
         if now == before:
             break

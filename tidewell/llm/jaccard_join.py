@@ -18,13 +18,18 @@ shingles use single ones; those near LARGE use both, so no link is lost.
 Counts. Shingle counts come from one table of hashed counters over all
 documents. Counters may collide: that changes the order, not the result.
 
-Verification. Every list of sets with one signature has a pivot, the smallest
-id, and its other members are verified against it: as many pairs as list
-entries. Lists whose members are then in one component are done. Of the rest,
-members are dealt into blocks, and each pair of blocks is verified in one task
-across components; a block pair returns a spanning forest of its links, not
-pairs. So a hot list is never gathered, and a group of near copies costs about
-its size.
+Filter. A set is also summed up by a bitmap of about one bit a shingle, each
+bit the parity of the shingles hashed to it. The bits in which two bitmaps
+differ are no more than the shingles in which the sets differ (Sandes et al.,
+2020), so a pair that fails on bitmaps fails, at a sixty-fourth of the bytes.
+
+Verification. Every list of sets with one signature has two pivots, and its
+other members are held against them: at most twice as many pairs as list
+entries. Pairs that pass the filter are verified on whole sets and joined into
+components. A list whose members are then in one component is done. Of the
+rest, members are dealt into blocks, and each pair of blocks is filtered in one
+task across components; what passes is verified too. So a hot list is never
+gathered, and whole sets travel only for pairs that are likely links.
 """
 
 from __future__ import annotations
@@ -45,7 +50,9 @@ COUNTERS = 1 << 20
 SLICES = 16
 GROUPS = 64
 LARGE = 256
-BLOCK = 256
+BLOCK = 1024
+GROUP_ROWS = 2000
+LEAST_BITS = 1024
 BLOOM_BITS = 1 << 23
 
 
@@ -100,17 +107,34 @@ def similar(inter: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int)
     return den * inter >= num * (a + b - inter)
 
 
+def bitmap(own: np.ndarray) -> bytes:
+    """Parities of a set's hashes over a power of two of bits, LEAST_BITS or the next from its size on."""
+    bits = max(LEAST_BITS, 1 << int(len(own) - 1).bit_length()) if len(own) else LEAST_BITS
+    return np.packbits(np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def fold(bits: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap over fewer bits: parities add up."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, width), axis=0)
+
+
+def may_link(differing: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of these sizes that differ in at least so many shingles can be similar."""
+    twice = a + b - differing
+    return den * twice >= num * (2 * (a + b) - twice)
+
+
 def _texts(column: pa.Array) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
 
 
 def shingle_sets(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, sid, check) of every row, and the table of shingle counters over all rows, from one scan."""
+    """(doc_id, n, sid, check, bits) of every row, and the table of shingle counters over all rows, from one scan."""
     kind = docs.schema["doc_id"].dataType
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table, ids = WordHasher(), np.zeros(COUNTERS, np.uint32), None
-        names = ["doc_id", "n", "sid", "check", "slice", "counts"]
+        names = ["doc_id", "n", "sid", "check", "bits", "slice", "counts"]
         for b in batches:
             texts, ids = _texts(b.column(1)), b.column(0)
             for start, part in chunks(texts):
@@ -118,13 +142,14 @@ def shingle_sets(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 table += np.bincount((found >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
                 sid, check = set_ids(found, sizes)
                 blank = [pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())]
-                yield pa.RecordBatch.from_arrays([ids.slice(start, len(part)), pa.array(sizes, pa.int64()), pa.array(sid), pa.array(check), *blank], names)
+                bits = pa.array([bitmap(own) for own in np.split(found, np.cumsum(sizes)[:-1])], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(start, len(part)), pa.array(sizes, pa.int64()), pa.array(sid), pa.array(check), bits, *blank], names)
         if ids is not None:
             parts = [x.tobytes() for x in np.split(table, SLICES)]
-            empty = [pa.nulls(SLICES, t) for t in (ids.type, pa.int64(), pa.int64(), pa.int64())]
+            empty = [pa.nulls(SLICES, t) for t in (ids.type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
 
-    rows = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(work, f"doc_id {kind.simpleString()}, n long, sid long, check long, slice int, counts binary")
+    rows = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(work, f"doc_id {kind.simpleString()}, n long, sid long, check long, bits binary, slice int, counts binary")
     rows = common.materialise(rows, "shingle-sets")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +165,7 @@ def shingle_sets(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     whole = np.zeros((SLICES, COUNTERS // SLICES), np.uint32)
     for r in tables.toLocalIterator():
         whole[r["slice"]] = np.frombuffer(r["counts"], np.uint32)
-    return rows.where("slice IS NULL").select("doc_id", "n", "sid", "check"), whole.ravel()
+    return rows.where("slice IS NULL").select("doc_id", "n", "sid", "check", "bits"), whole.ravel()
 
 
 def postings(docs: DataFrame, counters: np.ndarray, k: int, num: int, den: int) -> DataFrame:
@@ -208,60 +233,71 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(within).select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
 
 
-def forest(hashes: list[np.ndarray], labels: np.ndarray, rows: np.ndarray, columns: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links between rows and columns (indices of sets) that join different labels, no more than join them."""
-    sizes = np.array([len(h) for h in hashes])
-    owner = np.repeat(np.arange(len(hashes)), sizes)
-    token, inverse, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-    # Only shared shingles count, taken in strips of bounded width.
-    shared = np.flatnonzero(count > 1)
-    place = np.full(len(token), -1)
-    place[shared] = np.arange(len(shared))
-    column = place[inverse]
-    inter = np.zeros((len(rows), len(columns)), np.int64)
-    keep = column >= 0
-    owner, column = owner[keep], column[keep]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    for at in range(0, len(shared), 2048):
-        lo, hi = np.searchsorted(column, (at, at + 2048))
-        strip = np.zeros((len(hashes), 2048), np.float32)
-        strip[owner[lo:hi], column[lo:hi] - at] = 1
-        inter += (strip[rows] @ strip[columns].T).astype(np.int64)
-    linked = similar(inter, sizes[rows][:, None], sizes[columns][None, :], num, den) & (labels[rows][:, None] != labels[columns][None, :])
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.get(x, x) != x:
-            root[x] = root.get(root[x], root[x])
-            x = root[x]
-        return x
+def filtered(pairs: DataFrame, marks: DataFrame, num: int, den: int) -> DataFrame:
+    """The distinct pairs (a, b) that pass on bitmaps; ``marks`` has sid, n and bits."""
+    left = marks.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x"))
+    right = marks.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y"))
+    within = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            differing = []
+            for x, y in zip(b.column(4), b.column(5), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                width = min(len(x), len(y))
+                differing.append(int(np.bitwise_count(fold(x, width) ^ fold(y, width)).sum()))
+            keep = may_link(np.array(differing, np.int64), np.asarray(b.column(2)), np.asarray(b.column(3)), num, den)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    joined = pairs.join(left, "a").join(right, "b").where(within)
+    return joined.select("a", "b", "na", "nb", "x", "y").mapInArrow(work, "a long, b long")
 
+
+def candidates_of(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, rows: np.ndarray, columns: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of rows and columns (indices of sets) with different labels that pass on bitmaps."""
     found = []
-    for i, j in np.argwhere(linked).tolist():
-        a, b = find(int(labels[rows[i]])), find(int(labels[columns[j]]))
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            found.append((int(labels[rows[i]]), int(labels[columns[j]])))
+    lengths = [np.array([len(bits[i]) for i in x], np.int64) for x in (rows, columns)]
+    for width in set(lengths[0].tolist()):
+        some = rows[lengths[0] == width]
+        # Sizes of similar sets differ by less than a factor of two, and so do their bitmaps.
+        for other in (width // 2, width, width * 2):
+            near = columns[lengths[1] == other]
+            if not len(some) or not len(near):
+                continue
+            w = min(width, other)
+            x = np.stack([fold(np.frombuffer(bits[i], np.uint8), w) for i in some]).view(np.uint64)
+            y = np.stack([fold(np.frombuffer(bits[i], np.uint8), w) for i in near]).view(np.uint64)
+            for i, own in zip(some, x, strict=True):
+                differing = np.bitwise_count(own ^ y).sum(1, dtype=np.int64)
+                passes = may_link(differing, sizes[i], sizes[near], num, den) & (labels[near] != labels[i])
+                found += [(int(i), int(j)) for j in near[passes]]
     return found
 
 
-def block_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) between components, from lists (sig, sid, label, size of the list) verified block by block."""
+def block_pairs(members: DataFrame, marks: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) across components that pass on bitmaps, from lists (sig, sid, label, size of the list), block by block."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
     # A member of block i goes to every pair of blocks that has i.
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("sig", "sid", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(h, np.uint64) for h in group["hashes"]]
-        own, labels = group["own"].to_numpy(), group["label"].to_numpy()
-        first, second = np.flatnonzero(own == group["i"].iloc[0]), np.flatnonzero(own == group["j"].iloc[0])
-        found = forest(hashes, labels, first, second, num, den) if len(first) and len(second) else []
-        return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype="int64")
-
-    return dealt.join(sets, "sid").groupBy("sig", "i", "j").applyInPandas(work, "a long, b long")
+    # Short lists go to a task's group together, GROUP_ROWS rows or so at a time.
+    gathered = F.lit(max(1, members.count() // GROUP_ROWS))
+    group = F.when(blocks > 1, F.col("sig")).otherwise(F.pmod("sig", gathered))
+    dealt = dealt.select(group.alias("g"), "sig", "sid", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = rows["i"].iloc[0], rows["j"].iloc[0]
+        rows = rows.sort_values("sig", kind="stable")
+        own, ids, sizes, labels, bits = (rows[c].to_numpy() for c in ("own", "sid", "n", "label", "bits"))
+        ends = []
+        for at in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(rows["sig"].to_numpy())) + 1):
+            found = candidates_of(bits, sizes, labels, at[own[at] == i], at[own[at] == j], num, den)
+            if found:
+                ends.append(ids[np.array(found)])
+        both = np.concatenate(ends) if ends else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": both.min(1), "b": both.max(1)}, dtype="int64").drop_duplicates()
+
+    return dealt.join(marks, "sid").groupBy("g", "i", "j").applyInPandas(work, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -282,25 +318,39 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
     if classes.where("c1 != c2").limit(1).count():
         raise RuntimeError("two different shingle sets share a 64-bit id; change the hash seed")
     index = common.materialise(postings(docs, counters, k, num, den), "postings")
-    lists = index.groupBy("sig").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).where("pivot != last").select("sig", "pivot")
-    members = common.materialise(index.join(lists, "sig").distinct(), "members")
+    lists = index.groupBy("sig").agg(F.min("sid").alias("p1"), F.max("sid").alias("p2")).where("p1 != p2")
+    found = common.materialise(index.join(lists, "sig").distinct(), "members")
+    common.discard(index)
     # Lists with the same members are kept once.
-    prints = members.groupBy("sig").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("sid")).alias("p1"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("p2"), F.first("pivot").alias("pivot"))
-    kept = common.materialise(prints.groupBy("size", "p1", "p2", "pivot").agg(F.min("sig").alias("sig")).select("sig", "size"), "lists")
-    members = common.materialise(members.join(kept, "sig"), "members")
-    whole = payloads(docs, members.select("sid").distinct(), sets, k)
-    pairs = members.where("sid != pivot").select(F.col("sid").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = common.materialise(verify(pairs, whole, num, den), "links")
+    prints = found.groupBy("sig", "p1", "p2").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("sid")).alias("f1"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("f2"))
+    kept = common.materialise(prints.groupBy("size", "f1", "f2", "p1", "p2").agg(F.min("sig").alias("sig")).select("sig", "size"), "lists")
+    members = common.materialise(found.join(kept, "sig"), "members")
+    common.discard(found, kept)
+    marks = common.materialise(sets.join(members.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "marks")
+    pivots = F.explode(F.array("p1", "p2")).alias("p")
+    pairs = members.select("sid", pivots).where("sid != p").select(F.least("sid", "p").alias("a"), F.greatest("sid", "p").alias("b")).distinct()
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = common.materialise(pairs, "candidates")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        whole = payloads(docs, ends, sets, k)
+        found = common.materialise(verify(pairs, whole, num, den), "links")
+        common.discard(pairs, whole)
+        return found
+
+    links = linked(filtered(pairs, marks, num, den))
     roots = common.materialise(components(links), "roots")
     labelled = members.where("size > 2").join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sig", "sid", "size", F.coalesce("root", "sid").alias("label"))
     labelled = common.materialise(labelled, "labelled")
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 != l2").select("sig")
-    more = common.materialise(block_links(labelled.join(mixed, "sig"), whole, num, den), "links")
-    if more.limit(1).count():
-        links = links.unionAll(more)
+    rest = common.materialise(labelled.join(mixed, "sig"), "mixed-lists")
+    more = common.materialise(block_pairs(rest, marks, num, den), "candidates")
+    if not more.isEmpty():
+        links = links.unionAll(linked(more))
         roots = common.materialise(components(links), "roots")
     named = classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component"))
     named = common.materialise(named.join(smallest, "root").select("sid", "component"), "components")
+    common.discard(members, marks, labelled, more, classes)
     own = sets.join(named, "sid", "left")
     return own.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
