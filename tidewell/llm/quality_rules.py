@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm import common
 from tidewell.llm.common import let, words
 
 WINDOW = 8
@@ -95,7 +96,8 @@ def rate(docs: DataFrame, reach: float = REACH) -> DataFrame:
     has no words and fails. Repeated rows get equal results; an empty table
     gives no rows. All columns but the text and those made here stay.
     """
-    rows = counts(docs.drop("base_failed", "failed_rules", "kept", "_lang", "_source"))
+    # Written once: the texts are read a single time for the sketches and the verdicts.
+    rows = common.materialise(counts(docs.drop("base_failed", "failed_rules", "kept", "_lang", "_source")), "quality-counts")
     bounds = fences(rows, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = rows.join(bounds, rows["lang"].eqNullSafe(bounds["_lang"]) & rows["source"].eqNullSafe(bounds["_source"]), "left")
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
