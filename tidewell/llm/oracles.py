@@ -83,3 +83,17 @@ def nearest_vectors() -> str:
         FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND c.vec_id != q.vec_id)
     SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
     FROM pairs QUALIFY rank <= 20"""
+
+
+def similar_documents(k: int, num: int, den: int) -> str:
+    """All pairs that share a shingle, and what they reach: for small tables."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+    WITH RECURSIVE tokens AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD}') AS w FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {k} THEN [array_to_string(w[i:i + {k - 1}], ' ') FOR i IN range(1, len(w) - {k - 2})] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM tokens),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id != b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE {den} * c >= {num} * (a.n + b.n - c)),
+    reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+    SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(y) AS component_id
+    FROM documents d JOIN reached ON x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import jaccard_join, mixing, multi_index, oracles, packing, quality_classifier, quality_rules, secrets, sharding, toxicity, warc
-from tidewell.llm.common import scratch, table
+from tidewell.llm.common import materialise, scratch, table
 
 SHARDS = 16
 #: Labelled rows that a classifier is fitted on at most.
@@ -43,6 +43,7 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_kind = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
     counted = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
     digests = found.select("blob_id", *counted, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+    digests = materialise(digests, "secret-digests")
     none = {"n_assign": F.lit(0).cast("long"), "n_access": F.lit(0).cast("long"), "n_hex": F.lit(0).cast("long"), "base_sha256": F.sha2(F.lit(""), 256), "spans": F.lit("")}
     return versions.join(digests, "blob_id", "left").select("doc_id", *[F.coalesce(c, v).alias(c) for c, v in none.items()])
 
@@ -92,6 +93,7 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op4_secret_scans": oracles.secret_scans(),
     "op6_warc": oracles.warc_records(warc.REVISIT_BYTES),
+    "op7_jaccard_join": oracles.similar_documents(3, 90, 100),
     "op8_multi_index": oracles.nearest_vectors(),
     "op10_quality_rules": oracles.quality_verdicts(),
 }

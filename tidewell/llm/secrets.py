@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm import common
 from tidewell.llm.common import let
 
 SPAN = "struct<kind:string,start:int,end:int>"
@@ -134,7 +135,8 @@ def scan(docs: DataFrame, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
     docs = docs.drop("blob_id", "secret_spans")
     versions = with_blob(docs)
     update(versions.where("text IS NOT NULL"), ledger, rules)
-    found = findings(docs.sparkSession, ledger, rules).withColumnRenamed("spans", "secret_spans")
+    # Written, so that the join has a plain exchange on both sides and a blob of very many paths can be split.
+    found = common.materialise(findings(docs.sparkSession, ledger, rules).withColumnRenamed("spans", "secret_spans"), "findings")
     joined = versions.join(found, "blob_id", "left")
     return joined.select(*docs.columns, "blob_id", F.coalesce("secret_spans", F.array().cast(f"array<{SPAN}>")).alias("secret_spans"))
 
