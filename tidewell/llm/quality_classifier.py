@@ -62,10 +62,12 @@ def features(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.nda
 
     same = (word[1:] == word[:-1]) & (owner[1:] == owner[:-1])
     repeated = np.bincount(owner[1:][same], minlength=len(texts)) / n
-    full = np.unique(np.stack([owner, word.view(np.int64)]), axis=1)[0] if len(word) else owner
+    order = np.lexsort((word, owner))
+    first = (np.diff(word[order], prepend=word[:1] + np.uint64(1)) != 0) | (np.diff(owner[order], prepend=-1) != 0)
+    different = np.bincount(owner[order][first], minlength=len(texts))
     lines = [t.split(b"\n") for t in texts]
     again = np.array([1 - len(set(x)) / len(x) for x in lines])
-    for i, share in enumerate((repeated, np.bincount(full, minlength=len(texts)) / n, again)):
+    for i, share in enumerate((repeated, different / n, again)):
         rows.append(np.arange(len(texts)))
         columns.append((1 << WORD_BITS) + (1 << SHAPE_BITS) + 16 * i + np.minimum(15, (share * 16).astype(np.int64)))
         values.append(np.ones(len(texts)))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
