@@ -197,3 +197,17 @@ def test_counters_total(spark):
     rows = rows.withColumn("old", keys.F.when(keys.F.col("moved"), keys.F.lit(1)))
     total = normalize.counters(rows).where("table IS NULL").first()
     assert (total["inserts"], total["updates"], total["deletes"], total["applied"]) == (1, 1, 1, 3)
+
+
+def test_transactions_across_blocks(spark, tmp_path, monkeypatch):
+    log = Log()
+    log.frame(pg.encode_relation(SIMPLE), 1)
+    for commit in (10, 20, 30):
+        log.transaction(commit, *[pg.encode_change("I", 11, [commit + i, "x"]) for i in range(7)])
+    messages = pg.decode_frames(drain.frames(spark, log.write(spark, tmp_path / "log")))
+    for size in (1, 3, 100):
+        monkeypatch.setattr(drain, "ARRIVAL_BLOCK", size)
+        got = sorted((r["new"]["id"], r["commit_lsn"], r["ordinal"]) for r in drain.changes_of(drain.with_transaction(messages), SIMPLE).collect())
+        assert got == [(c + i, c, i + 1) for c in (10, 20, 30) for i in range(7)]
+    bound = bind.bind_relations(messages.where("kind = 'I'").select("rel_id", "arrival_seq"), bind.relations_of(messages)).collect()
+    assert len(bound) == 21 and {(r["namespace"], r["name"], r["identity"]) for r in bound} == {("public", "simple", "d")}

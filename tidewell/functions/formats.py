@@ -11,7 +11,7 @@ def format_number(n: Column) -> Column:
     magnitude, sign = F.abs(n), F.when(n < 0, F.lit("-")).otherwise(F.lit(""))
 
     def scaled(unit: int, letter: str) -> Column:
-        tenths = F.expr("0").cast("long") + F.floor((magnitude + unit // 20) / F.lit(unit // 10))
+        tenths = F.floor((magnitude + unit // 20) / F.lit(unit // 10))
         return F.concat(sign, F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit(letter))
 
     plain = n.cast("string")

@@ -19,6 +19,11 @@ def checked_broadcast(small: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame
     return F.broadcast(small) if small.limit(most + 1).count() <= most else small
 
 
+def relations_of(messages: DataFrame) -> DataFrame:
+    """The relation descriptions among decoded messages, each valid from its arrival on."""
+    return messages.where("kind = 'R'").select("rel_id", "arrival_seq", "namespace", "name", "identity", "fields")
+
+
 def bind_relations(changes: DataFrame, relations: DataFrame, strict: bool = True) -> DataFrame:
     """Each change with the description of its relation that last arrived before it.
 

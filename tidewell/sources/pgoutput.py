@@ -23,10 +23,24 @@ from tidewell import model
 
 CELL = "struct<tag:string,data:binary>"
 FIELD = "struct<name:string,oid:bigint,key:boolean,modifier:int>"
-MESSAGE = (
-    f"arrival_seq bigint, lsn_start bigint, kind string, rel_id bigint, namespace string, name string, identity string, fields array<{FIELD}>, "
-    f"key_kind string, old array<{CELL}>, new array<{CELL}>, final_lsn bigint, committed_at timestamp, xid bigint, truncated array<bigint>, fault string"
-)
+MESSAGE = {
+    "arrival_seq": "bigint",
+    "lsn_start": "bigint",
+    "kind": "string",
+    "rel_id": "bigint",
+    "namespace": "string",
+    "name": "string",
+    "identity": "string",
+    "fields": f"array<{FIELD}>",
+    "key_kind": "string",
+    "old": f"array<{CELL}>",
+    "new": f"array<{CELL}>",
+    "final_lsn": "bigint",
+    "committed_at": "timestamp",
+    "xid": "bigint",
+    "truncated": "array<bigint>",
+    "fault": "string",
+}
 EPOCH = datetime(2000, 1, 1, tzinfo=timezone.utc)
 
 
@@ -135,11 +149,10 @@ def status_update(position: int, micros: int) -> bytes:
 
 def decode_frames(frames: DataFrame) -> DataFrame:
     """Messages of ``frames`` (arrival_seq, lsn_start, payload); the only Python step of the engine."""
-    names = [f.split()[0] for f in MESSAGE.replace("array<struct<name:string,oid:bigint,key:boolean,modifier:int>>", "x").replace(f"array<{CELL}>", "x").split(", ")]
     cell = pa.list_(pa.struct([("tag", pa.string()), ("data", pa.binary())]))
-    fields = pa.list_(pa.struct([("name", pa.string()), ("oid", pa.int64()), ("key", pa.bool_()), ("modifier", pa.int32())]))
-    types = {"kind": pa.string(), "namespace": pa.string(), "name": pa.string(), "identity": pa.string(), "fields": fields, "key_kind": pa.string(), "old": cell, "new": cell, "committed_at": pa.timestamp("us", "UTC"), "truncated": pa.list_(pa.int64()), "fault": pa.string()}
-    schema = pa.schema([(n, types.get(n, pa.int64())) for n in names])
+    field = pa.list_(pa.struct([("name", pa.string()), ("oid", pa.int64()), ("key", pa.bool_()), ("modifier", pa.int32())]))
+    arrow = {"bigint": pa.int64(), "string": pa.string(), f"array<{FIELD}>": field, f"array<{CELL}>": cell, "timestamp": pa.timestamp("us", "UTC"), "array<bigint>": pa.list_(pa.int64())}
+    schema = pa.schema([(name, arrow[kind]) for name, kind in MESSAGE.items()])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,7 +166,7 @@ def decode_frames(frames: DataFrame) -> DataFrame:
                     rows.append({"arrival_seq": seq, "lsn_start": lsn, **found})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return frames.select("arrival_seq", "lsn_start", "payload").mapInArrow(work, MESSAGE)
+    return frames.select("arrival_seq", "lsn_start", "payload").mapInArrow(work, ", ".join(f"{name} {kind}" for name, kind in MESSAGE.items()))
 
 
 def numeric(data: bytes) -> Decimal | None:

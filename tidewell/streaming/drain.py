@@ -13,6 +13,8 @@ from tidewell.operators import bind, normalize
 from tidewell.sources import pgoutput
 from tidewell.sources.tables import Replica
 
+#: Arrival numbers of a block in which transactions are found together.
+ARRIVAL_BLOCK = 100_000
 FRAMES = "arrival_seq bigint, lsn_start bigint, lsn_end bigint, payload binary"
 
 
@@ -31,14 +33,20 @@ def with_transaction(messages: DataFrame) -> DataFrame:
     """Each change with the commit position, id and time of its transaction and its ordinal in it.
 
     Transactions arrive one after another, so the last Begin at or before a
-    change is its own. Only Begin messages are ordered as a whole; changes meet
-    them by a range join, and the ordinal is the distance in arrival.
+    change is its own. It is found inside blocks of arrival numbers; a change
+    before the first Begin of its block takes the last one of the blocks before,
+    from a table of one row a block. Nothing is ordered as a whole but that.
     """
-    begins = messages.where("kind = 'B'").select(F.col("arrival_seq").alias("_from"), F.col("final_lsn").alias("commit_lsn"), F.col("committed_at").alias("_at"), F.col("xid").alias("_xid"))
-    spans = begins.withColumn("_to", F.lead("_from").over(Window.orderBy("_from")))
-    inside = (F.col("arrival_seq") > F.col("_from")) & (F.col("_to").isNull() | (F.col("arrival_seq") < F.col("_to")))
-    joined = messages.where("kind IN ('I', 'U', 'D', 'T')").join(bind.checked_broadcast(spans), inside)
-    return joined.select(*[c for c in messages.columns if c not in ("final_lsn", "committed_at", "xid")], "commit_lsn", F.col("_at").alias("committed_at"), F.col("_xid").alias("xid"), (F.col("arrival_seq") - F.col("_from")).alias("ordinal"))
+    block = F.floor(F.col("arrival_seq") / ARRIVAL_BLOCK)
+    begin = F.when(F.col("kind") == "B", F.struct(F.col("arrival_seq").alias("from"), "final_lsn", "committed_at", "xid"))
+    rows = messages.withColumns({"_block": block, "_begin": begin})
+    blocks = rows.groupBy("_block").agg(F.max("_begin").alias("_end"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select("_block", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    own = F.last("_begin", ignorenulls=True).over(Window.partitionBy("_block").orderBy("arrival_seq"))
+    rows = rows.withColumn("_own", own).where("kind IN ('I', 'U', 'D', 'T')").join(carried, "_block").withColumn("_begin", F.coalesce("_own", "_carried"))
+    kept = [c for c in messages.columns if c not in ("final_lsn", "committed_at", "xid")]
+    return rows.where("_begin IS NOT NULL").select(*kept, F.col("_begin.final_lsn").alias("commit_lsn"), F.col("_begin.committed_at").alias("committed_at"), F.col("_begin.xid").alias("xid"), (F.col("arrival_seq") - F.col("_begin.from")).alias("ordinal"))
 
 
 def bounded(changes: DataFrame, target: int, after: int = 0) -> DataFrame:
