@@ -8,10 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 META = "_tw_"
-REL_ID, SYNCED_AT, IS_DELETED, VERSION = (META + n for n in ("rel_id", "synced_at", "is_deleted", "version"))
+REL_ID, SYNCED_AT, IS_DELETED, VERSION, UNSENT = (META + n for n in ("rel_id", "synced_at", "is_deleted", "version", "unsent"))
 #: Types of the metadata columns. A version is (commit_lsn, ordinal in the transaction, part), compared left to right.
 VERSION_TYPE = "struct<commit_lsn:bigint,ordinal:bigint,part:int>"
-META_TYPES = {REL_ID: "bigint", SYNCED_AT: "timestamp", IS_DELETED: "int", VERSION: VERSION_TYPE}
+#: UNSENT names the columns whose value the source did not send and no earlier version has.
+META_TYPES = {REL_ID: "bigint", SYNCED_AT: "timestamp", IS_DELETED: "int", VERSION: VERSION_TYPE, UNSENT: "array<string>"}
 
 # The source's type identifiers, with the type and the tombstone default of each.
 OIDS = {

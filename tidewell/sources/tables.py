@@ -91,15 +91,17 @@ class Replica:
         whole = columns + ", " + ", ".join(f"`{n}` {t}" for n, t in model.META_TYPES.items())
         self.spark.createDataFrame([], whole).write.mode("overwrite").parquet(self.path(table) + "/_schema")
 
-    def read(self, table: str) -> DataFrame:
-        """All versions, as stored. Rows of before ``_tw_rel_id`` existed have 0 there."""
+    def read(self, table: str, but: int | None = None) -> DataFrame:
+        """All versions, as stored. Rows of before ``_tw_rel_id`` existed have 0 there, those of before ``_tw_unsent`` null. Without the rows of batch ``but``."""
         schema = self.spark.read.parquet(self.path(table) + "/_schema").schema
-        if model.REL_ID not in schema.names:
-            schema = StructType([*schema, *StructType().add(model.REL_ID, "long")])
+        for name in (model.REL_ID, model.UNSENT):
+            if name not in schema.names:
+                schema = StructType([*schema, *StructType().add(name, model.META_TYPES[name])])
         path = self.path(table) + "/data"
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(StructType([*schema, *StructType().add(BATCH, "long")])).parquet(path).drop(BATCH)
+        rows = self.spark.read.schema(StructType([*schema, *StructType().add(BATCH, "long")])).parquet(path)
+        rows = rows.where(F.col(BATCH) != F.lit(but)).drop(BATCH) if but is not None else rows.drop(BATCH)
         return rows.withColumn(model.REL_ID, F.coalesce(model.REL_ID, F.lit(0).cast("long")))
 
     def write(self, table: str, rows: DataFrame, batch: int) -> None:

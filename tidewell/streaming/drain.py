@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell import model
-from tidewell.operators import bind, normalize
+from tidewell.operators import bind, merge, normalize
 from tidewell.sources import pgoutput
 from tidewell.sources.tables import Replica
 
@@ -55,17 +55,21 @@ def bounded(changes: DataFrame, target: int, after: int = 0) -> DataFrame:
 
 
 def changes_of(messages: DataFrame, relation: model.Relation) -> DataFrame:
-    """The typed changes of one relation: op, old, new, key_kind, commit_lsn, ordinal, rel_id."""
+    """The typed changes of one relation: op, old, new, key_kind, commit_lsn, ordinal, rel_id, and in unsent the columns that new leaves out."""
     own = messages.where((F.col("rel_id") == relation.rel_id) & F.col("kind").isin("I", "U", "D"))
     new = F.when(F.col("new").isNotNull(), pgoutput.typed_rows(F.col("new"), relation.fields))
     old = F.when(F.col("old").isNotNull(), pgoutput.typed_rows(F.col("old"), relation.fields, compact_key=True))
-    return own.select(F.col("kind").alias("op"), old.alias("old"), new.alias("new"), "key_kind", "commit_lsn", "ordinal", "rel_id")
+    unsent = F.array_compact(F.array(*[F.when(F.get("new", F.lit(i))["tag"] == "u", F.lit(f.name)) for i, f in enumerate(relation.fields)]))
+    return own.select(F.col("kind").alias("op"), old.alias("old"), new.alias("new"), "key_kind", "commit_lsn", "ordinal", "rel_id", F.coalesce(unsent, F.array()).alias("unsent"))
 
 
-def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int = 0) -> dict[str, int]:
+def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int = 0, fresh: set[str] = frozenset()) -> dict[str, int]:
     """Apply one bounded run of the log to the replicas of ``relations`` (by table), as batch ``batch``.
 
-    Repeating a run replaces its batch by the same rows. Returns rows by table.
+    Repeating a run replaces its batch by the same rows. Values that an update
+    did not send come from the versions of the other batches and of this one;
+    ``fresh`` names tables that were loaded after ``target``. Returns rows by
+    table.
     """
     if after >= target:
         return {}
@@ -78,6 +82,8 @@ def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str,
             continue
         key = [f.name for f in relation.fields if f.key]
         rows = normalize.to_versions(changes_of(changes, relation), key)
+        if not rows.where(F.size(model.UNSENT) > 0).isEmpty():
+            rows = merge.fill_unsent(rows, replica.read(table, but=batch), key, table in fresh)
         replica.write(table, rows, batch)
         applied[table] = spark.read.parquet(f"{replica.path(table)}/data/_tw_batch={batch}").count()
     return applied
