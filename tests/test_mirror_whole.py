@@ -1,5 +1,9 @@
 """The mirror applies all that the log says, or stops."""
 
+import struct
+from datetime import date, datetime, timezone
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from test_mirror import Log, live, run, source
@@ -76,3 +80,23 @@ def test_a_tombstone_ends_what_is_carried(spark):
     rows = spark.createDataFrame([(1, 1, "a", False, 0), (1, 2, "", True, 1), (1, 3, None, True, 0), (1, 4, "b", False, 0), (1, 5, None, True, 0)], "k int, v int, x string, unsent boolean, gone int")
     got = merge.carry_forward(rows, ["k"], ["v"], {"x": "unsent"}, "gone").orderBy("v").collect()
     assert [r["x"] for r in got] == ["a", "", None, "b", "b"]
+
+
+def test_binary_cells_are_applied(spark, tmp_path):
+    kinds = {"id": 20, "small": 21, "whole": 23, "flag": 16, "f4": 700, "f8": 701, "day": 1082, "at": 1114, "zone": 1184, "price": 1700, "uid": 2950, "body": 25}
+    relation = model.Relation(31, "public", "notes", tuple(model.Field(n, o, n in ("id", "body"), (10 << 16 | 2) + 4 if o == 1700 else -1) for n, o in kinds.items()))
+    schema = ", ".join(f"`{f.name}` {model.spark_type(f.oid, f.modifier)}" for f in relation.fields)
+    source(spark, tmp_path, "notes", [], schema)
+    cfg = run({"notes": ["id", "body"]}, tmp_path)
+    load.load_table(mirror.Source(spark, cfg.source), Replica(spark, f"{tmp_path}/dst"), "notes", 31)
+    b = lambda form, x: ("b", struct.pack(">" + form, x))
+    uid = "00112233-4455-6677-8899-aabbccddeeff"
+    cells = lambda i: [b("q", i), b("h", -2), b("i", -3), b("?", True), b("f", 0.1), b("d", -1e-300), b("i", -1), b("q", -1), b("q", 0), ("b", bytes.fromhex("0002000000000002000c1388")), ("b", bytes.fromhex(uid.replace("-", ""))), ("b", "naïve".encode())]
+    log = Log()
+    log.transaction(10, change("I", cells(2**40)), change("I", cells(-5)), change("I", cells(6)), change("I", [7, *cells(7)[1:]]))
+    log.transaction(20, change("D", old=[b("q", 6), *[None] * 10, ("b", "naïve".encode())]), change("D", old=[b("q", -5), ("b", "naïve".encode())]))
+    log.transaction(30, change("U", [b("q", 7), b("h", 1), *[None] * 9, ("b", "naïve".encode())]), change("I", [b("q", 8), None, None, None, None, b("d", float("inf")), b("i", 2**31 - 1), b("q", 2**63 - 1), None, ("b", bytes.fromhex("00000000c0000000")), None, ("b", b"")]))
+    drain.drain(spark, log.write(spark, tmp_path / "log"), Replica(spark, f"{tmp_path}/dst"), {"notes": relation}, 30, 1)
+    got = live(spark, tmp_path, "notes", ["id", "body"])
+    rest = (-2, -3, True, struct.unpack(">f", struct.pack(">f", 0.1))[0], -1e-300, date(1999, 12, 31), datetime(1999, 12, 31, 23, 59, 59, 999999), datetime(2000, 1, 1, tzinfo=timezone.utc).astimezone().replace(tzinfo=None), Decimal("12.50"), uid, "naïve")
+    assert got == [(7, 1, *[None] * 9, "naïve"), (8, None, None, None, None, float("inf"), None, None, None, None, None, ""), (2**40, *rest)]

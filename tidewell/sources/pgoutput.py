@@ -212,9 +212,49 @@ def value(tag: str, data: bytes | None, oid: int):
     return data.decode("utf-8", "replace")
 
 
+def text_of(tag: str, data: bytes | None, oid: int) -> tuple[str, bytes | None]:
+    """A binary cell as the text cell of the same value, null where a text cell of it would be read as null."""
+    if tag != "b":
+        return tag, data
+    try:
+        found = value(tag, data, oid)
+    except OverflowError:  # infinite and far dates and times
+        return "n", None
+    if found is None:
+        return "n", None
+    if isinstance(found, bool):
+        text = "t" if found else "f"
+    elif isinstance(found, datetime):
+        text = found.isoformat(" ")
+    else:
+        text = format(found, "f") if isinstance(found, Decimal) else str(found)
+    return "t", text.encode()
+
+
+def text_cells(cells: Column, fields: tuple[model.Field, ...], compact_key: bool = False) -> Column:
+    """``cells`` with binary ones turned to text; rows without binary cells are not handed to Python.
+
+    ``compact_key`` is as in :func:`typed_rows`.
+    """
+    oids, keys = [f.oid for f in fields], [f.oid for f in fields if f.key]
+
+    @F.udf(f"array<{CELL}>", useArrow=True)
+    def turned(row):
+        if row is None:
+            return None
+        kinds = keys if compact_key and len(row) == len(keys) else oids
+        kinds = [*kinds, *[25] * (len(row) - len(kinds))]
+        return [dict(zip(("tag", "data"), text_of(c["tag"], c["data"], o), strict=True)) for c, o in zip(row, kinds, strict=False)]
+
+    binary = F.exists(cells, lambda c: c["tag"] == "b")
+    return F.when(binary, turned(F.when(binary, cells))).otherwise(cells)
+
+
 def typed_rows(cells: Column, fields: tuple[model.Field, ...], compact_key: bool = False) -> Column:
     """A row's text cells as a typed struct, in DataFrame expressions; unchanged and null cells are null.
 
+    Binary cells are to be turned by :func:`text_cells` before.
+
     Booleans are ``t``; times with offset are read in UTC. With ``compact_key``
     the row may hold key columns only, as some senders write it.
     """

@@ -57,6 +57,7 @@ def bounded(changes: DataFrame, target: int, after: int = 0) -> DataFrame:
 def changes_of(messages: DataFrame, relation: model.Relation) -> DataFrame:
     """The typed changes of one relation: op, old, new, key_kind, commit_lsn, ordinal, rel_id, and in unsent the columns that new leaves out."""
     own = messages.where((F.col("rel_id") == relation.rel_id) & F.col("kind").isin("I", "U", "D"))
+    own = own.withColumns({"new": pgoutput.text_cells(F.col("new"), relation.fields), "old": pgoutput.text_cells(F.col("old"), relation.fields, compact_key=True)})
     new = F.when(F.col("new").isNotNull(), pgoutput.typed_rows(F.col("new"), relation.fields))
     old = F.when(F.col("old").isNotNull(), pgoutput.typed_rows(F.col("old"), relation.fields, compact_key=True))
     unsent = F.array_compact(F.array(*[F.when(F.get("new", F.lit(i))["tag"] == "u", F.lit(f.name)) for i, f in enumerate(relation.fields)]))
