@@ -100,3 +100,27 @@ def test_binary_cells_are_applied(spark, tmp_path):
     got = live(spark, tmp_path, "notes", ["id", "body"])
     rest = (-2, -3, True, struct.unpack(">f", struct.pack(">f", 0.1))[0], -1e-300, date(1999, 12, 31), datetime(1999, 12, 31, 23, 59, 59, 999999), datetime(2000, 1, 1, tzinfo=timezone.utc).astimezone().replace(tzinfo=None), Decimal("12.50"), uid, "naïve")
     assert got == [(7, 1, *[None] * 9, "naïve"), (8, None, None, None, None, float("inf"), None, None, None, None, None, ""), (2**40, *rest)]
+
+
+def test_each_schema_version_is_read_by_its_own_fields(spark, tmp_path):
+    loaded(spark, tmp_path, [(1, 1, "one"), (2, 2, "two"), (3, 3, "three")])
+    fields = dict(zip(("id", "rank", "body"), NOTES.fields, strict=True))
+    described = lambda *f: pg.encode_relation(model.Relation(31, "public", "notes", f))
+    log = Log()
+    log.transaction(10, described(*NOTES.fields), change("U", [1, 10, "uno"]))
+    log.transaction(20, described(fields["id"], fields["body"]), change("U", [2, "dos"]), change("U", [22, "u"], [2, None]))
+    log.transaction(30, described(fields["body"], fields["id"], model.Field("rank", 20), model.Field("extra", 701)), change("I", ["four", 4, 44, 4.5]), change("U", [("b", b"drei"), 3, ("b", struct.pack(">q", 33)), "u"]))
+    assert drained(spark, tmp_path, log, 30) == [(1, 10, "uno", None), (3, 33, "drei", None), (4, 44, "four", 4.5), (22, 2, "dos", None)]
+    log.transaction(40, described(fields["id"], fields["body"]), change("I", [5, "five"]))
+    assert drained(spark, tmp_path, log, 40, 2, 30)[-2:] == [(5, None, "five", None), (22, 2, "dos", None)]
+
+
+def test_a_change_without_description_stops_the_drain(spark, tmp_path):
+    loaded(spark, tmp_path, [(1, 1, "one")])
+    log = Log()
+    log.transaction(10, change("U", [1, 2, "two"]), change("I", [1], rel=77))
+    log.transaction(20, pg.encode_relation(model.Relation(77, "public", "other", (model.Field("id", 23, True),))), change("I", [2], rel=77))
+    with pytest.raises(Exception, match="no description of relation 77"):
+        drained(spark, tmp_path, log, 20)
+    assert live(spark, tmp_path, "notes", ["id"]) == [(1, 1, "one")]
+    assert drained(spark, tmp_path, log, 20, 2, 10) == [(1, 1, "one")]

@@ -36,8 +36,7 @@ def mirror(spark: SparkSession, config: Config, relations: dict[str, model.Relat
     planned = planner.load_order(planner.plan(gather(spark, config, source, replica, readded))).orderBy("place").collect()
     todo = [(r["table"], relations[r["table"]].rel_id, r["est_rows"]) for r in planned if r["load"]]
     loads = load.load_all(todo, lambda t, rel, est: load.load_table(source, replica, t, rel, est), config.settings.parallel_loads)
-    known = {t: r for t, r in relations.items() if replica.exists(t)}
-    applied = drain.drain(spark, log, replica, known, target, batch, after, {t for t, *_ in todo})
+    applied = drain.drain(spark, log, replica, relations, target, batch, after, {t for t, *_ in todo})
     stats = gather(spark, config, source, replica).withColumn("loaded", F.col("table").isin([t for t, *_ in todo]))
     suspects = [r["table"] for r in planner.integrity(stats).where("suspect").collect()]
     return {"target": target, "actions": {r["table"]: r["action"] for r in planned}, "loads": loads, "applied": applied, "suspects": suspects}

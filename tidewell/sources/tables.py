@@ -91,6 +91,16 @@ class Replica:
         whole = columns + ", " + ", ".join(f"`{n}` {t}" for n, t in model.META_TYPES.items())
         self.spark.createDataFrame([], whole).write.mode("overwrite").parquet(self.path(table) + "/_schema")
 
+    def widen(self, table: str, added: dict[str, str]) -> None:
+        """Add columns (name: type) to a table; rows of before have null there."""
+        if not added:
+            return
+        path = self.path(table) + "/_schema"
+        schema = self.spark.read.parquet(path).schema
+        data = [f for f in schema if not f.name.startswith(model.META)] + [f for n, k in added.items() for f in StructType().add(n, k)]
+        whole = StructType([*data, *[f for f in schema if f.name.startswith(model.META)]])
+        self.spark.createDataFrame([], whole).write.mode("overwrite").parquet(path)
+
     def read(self, table: str, but: int | None = None) -> DataFrame:
         """All versions, as stored. Rows of before ``_tw_rel_id`` existed have 0 there, those of before ``_tw_unsent`` null. Without the rows of batch ``but``."""
         schema = self.spark.read.parquet(self.path(table) + "/_schema").schema

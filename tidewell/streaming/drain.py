@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,14 +54,66 @@ def bounded(changes: DataFrame, target: int, after: int = 0) -> DataFrame:
     return changes.where((F.col("commit_lsn") > after) & (F.col("commit_lsn") <= target))
 
 
-def changes_of(messages: DataFrame, relation: model.Relation) -> DataFrame:
-    """The typed changes of one relation: op, old, new, key_kind, commit_lsn, ordinal, rel_id, and in unsent the columns that new leaves out."""
+def described(changes: DataFrame, messages: DataFrame, relations: dict[str, model.Relation]) -> DataFrame:
+    """``changes`` with the ``shape`` (text) and ``fields`` of their relation as last described before them.
+
+    ``relations`` hold until the log describes them anew. Fails on a change of
+    an id that is not described.
+    """
+    known = [(r.rel_id, -1, r.namespace, r.name, r.identity, [(f.name, f.oid, f.key, f.modifier) for f in r.fields]) for r in relations.values()]
+    given = changes.sparkSession.createDataFrame(known, f"rel_id bigint, arrival_seq bigint, namespace string, name string, identity string, fields array<{pgoutput.FIELD}>")
+    told = given.unionByName(bind.relations_of(messages)).withColumn("shape", F.to_json("fields"))
+    row_changes = changes.where(F.col("kind").isin("I", "U", "D")).drop("namespace", "name", "identity", "fields")
+    return bind.bind_relations(row_changes, told)
+
+
+def shapes_of(bound: DataFrame) -> dict[int, list[tuple[str, tuple[model.Field, ...]]]]:
+    """By relation id the (shape, fields) that its changes in ``bound`` have, the latest last."""
+    rows = bound.groupBy("rel_id", "shape").agg(F.max("arrival_seq").alias("last"), F.first("fields").alias("fields")).collect()
+    found: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: r["last"]):
+        found.setdefault(r["rel_id"], []).append((r["shape"], tuple(model.Field(f["name"], f["oid"], f["key"], f["modifier"]) for f in r["fields"])))
+    return found
+
+
+def columns_of(shapes: list[tuple[str, tuple[model.Field, ...]]], kept: dict[str, str]) -> dict[str, str]:
+    """Columns and types of a replica that has ``kept``, widened by those that the latest shape adds."""
+    return kept | {f.name: model.spark_type(f.oid, f.modifier) for _, fields in shapes[-1:] for f in fields if f.name not in kept}
+
+
+def changes_of(messages: DataFrame, relation: model.Relation, shapes: list[tuple[str, tuple[model.Field, ...]]] | None = None, columns: dict[str, str] | None = None) -> DataFrame:
+    """The typed changes of one relation: op, old, new, key_kind, commit_lsn, ordinal, rel_id, and in unsent the columns that new leaves out.
+
+    With ``shapes`` each change is read by the fields of its own ``shape`` and
+    laid out by name as ``columns`` (name: type). A column that a shape lacks is
+    unsent if the latest one has it, as it was added later; else it was dropped
+    and is null.
+    """
     own = messages.where((F.col("rel_id") == relation.rel_id) & F.col("kind").isin("I", "U", "D"))
-    own = own.withColumns({"new": pgoutput.text_cells(F.col("new"), relation.fields), "old": pgoutput.text_cells(F.col("old"), relation.fields, compact_key=True)})
-    new = F.when(F.col("new").isNotNull(), pgoutput.typed_rows(F.col("new"), relation.fields))
-    old = F.when(F.col("old").isNotNull(), pgoutput.typed_rows(F.col("old"), relation.fields, compact_key=True))
-    unsent = F.array_compact(F.array(*[F.when(F.get("new", F.lit(i))["tag"] == "u", F.lit(f.name)) for i, f in enumerate(relation.fields)]))
-    return own.select(F.col("kind").alias("op"), old.alias("old"), new.alias("new"), "key_kind", "commit_lsn", "ordinal", "rel_id", F.coalesce(unsent, F.array()).alias("unsent"))
+    shapes = shapes or [("", relation.fields)]
+    columns = columns or {f.name: model.spark_type(f.oid, f.modifier) for f in relation.fields}
+    latest = {f.name for f in shapes[-1][1]}
+    key = {f.name for f in relation.fields if f.key}
+    if bad := [fields for _, fields in shapes if not key <= {f.name for f in fields}]:
+        raise ValueError(f"key columns of {relation.name} are missing from its description {[f.name for f in bad[0]]}")
+
+    def by_shape(of: Callable[[tuple[model.Field, ...]], Column]) -> Column:
+        if len(shapes) == 1:
+            return of(shapes[0][1])
+        return F.coalesce(*[F.when(F.col("shape") == shape, of(fields)) for shape, fields in shapes])
+
+    def laid_out(cells: str, fields: tuple[model.Field, ...], compact_key: bool = False) -> Column:
+        row, names = pgoutput.typed_rows(F.col(cells), fields, compact_key), {f.name for f in fields}
+        return F.when(F.col(cells).isNotNull(), F.struct(*[(row[n] if n in names else F.lit(None)).cast(k).alias(n) for n, k in columns.items()]))
+
+    def left_out(fields: tuple[model.Field, ...]) -> Column:
+        at = {f.name: i for i, f in enumerate(fields)}
+        marks = [F.when(F.get("new", F.lit(at[n]))["tag"] == "u", F.lit(n)) if n in at else F.when(F.col("new").isNotNull(), F.lit(n)) for n in columns if n in at or n in latest]
+        return F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
+
+    own = own.withColumns({"new": by_shape(lambda f: pgoutput.text_cells(F.col("new"), f)), "old": by_shape(lambda f: pgoutput.text_cells(F.col("old"), f, compact_key=True))})
+    old, new = by_shape(lambda f: laid_out("old", f, compact_key=True)), by_shape(lambda f: laid_out("new", f))
+    return own.select(F.col("kind").alias("op"), old.alias("old"), new.alias("new"), "key_kind", "commit_lsn", "ordinal", "rel_id", F.coalesce(by_shape(left_out), F.array()).alias("unsent"))
 
 
 def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int = 0, fresh: set[str] = frozenset()) -> dict[str, int]:
@@ -69,20 +121,28 @@ def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str,
 
     Repeating a run replaces its batch by the same rows. Values that an update
     did not send come from the versions of the other batches and of this one;
-    ``fresh`` names tables that were loaded after ``target``. Returns rows by
-    table.
+    ``fresh`` names tables that were loaded after ``target``. Each change is
+    read as its relation was described when it arrived; columns that the log
+    adds are added to the replica. Returns rows by table.
     """
     if after >= target:
         return {}
     messages = pgoutput.decode_frames(frames(spark, log))
-    changes = bounded(with_transaction(messages), target, after)
+    changes = described(bounded(with_transaction(messages), target, after), messages, relations)
+    shapes = shapes_of(changes)  # fails before anything is written
     applied = {}
     for table, relation in relations.items():
+        if not replica.exists(table):
+            continue
         expected = bind.expected_identity(replica.read(table))
         if expected not in (None, relation.rel_id):
             continue
         key = [f.name for f in relation.fields if f.key]
-        rows = normalize.to_versions(changes_of(changes, relation), key)
+        own = shapes.get(relation.rel_id) or [("", relation.fields)]
+        kept = {n: k for n, k in replica.read(table).dtypes if not n.startswith(model.META)}
+        columns = columns_of(own, kept)
+        replica.widen(table, {n: k for n, k in columns.items() if n not in kept})
+        rows = normalize.to_versions(changes_of(changes, relation, own, columns), key)
         if not rows.where(F.size(model.UNSENT) > 0).isEmpty():
             rows = merge.fill_unsent(rows, replica.read(table, but=batch), key, table in fresh)
         replica.write(table, rows, batch)
