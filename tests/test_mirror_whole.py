@@ -76,6 +76,20 @@ def test_a_value_that_is_not_known_stays_marked(spark, tmp_path):
     assert [tuple(r) for r in marked] == [(9, ["body"])]
 
 
+def test_malformed_messages_stop_the_drain(spark, tmp_path):
+    loaded(spark, tmp_path, [(1, 1, "one")])
+    log = Log()
+    log.transaction(10, change("U", [1, 2, "two"]))
+    log.transaction(20, change("U", [1, 3, "three"])[:-2], b"D\0\0\0\x1fX")
+    with pytest.raises(drain.FaultyLog, match="2 malformed messages"):
+        drained(spark, tmp_path, log, 20)
+    assert live(spark, tmp_path, "notes", ["id"]) == [(1, 1, "one")]
+    assert drained(spark, tmp_path, log, 10, 2) == [(1, 2, "two")]
+    log.frame(pg.encode_begin(30)[:5], 30)
+    with pytest.raises(drain.FaultyLog, match="1 malformed messages"):
+        drained(spark, tmp_path, log, 30, 3, 20)
+
+
 def test_a_tombstone_ends_what_is_carried(spark):
     rows = spark.createDataFrame([(1, 1, "a", False, 0), (1, 2, "", True, 1), (1, 3, None, True, 0), (1, 4, "b", False, 0), (1, 5, None, True, 0)], "k int, v int, x string, unsent boolean, gone int")
     got = merge.carry_forward(rows, ["k"], ["v"], {"x": "unsent"}, "gone").orderBy("v").collect()

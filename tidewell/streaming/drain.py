@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,6 +55,31 @@ def bounded(changes: DataFrame, target: int, after: int = 0) -> DataFrame:
     return changes.where((F.col("commit_lsn") > after) & (F.col("commit_lsn") <= target))
 
 
+class FaultyLog(ValueError):
+    """The log up to the target has messages that do not parse."""
+
+
+def check_faults(messages: DataFrame, target: int, after: int = 0) -> None:
+    """Fail on messages with a fault that bear on the changes of ``bounded``.
+
+    Row changes count by their transaction. A Begin counts by its own position,
+    and so does a row change with no Begin before it. A relation holds for all
+    that follows, so one of before ``after`` counts too.
+    """
+    faulty = messages.where("fault IS NOT NULL").select("arrival_seq", "kind", "fault")
+    if faulty.isEmpty():
+        return
+    inside = bounded(with_transaction(messages), target, after).where("fault IS NOT NULL")
+    outside = messages.where((F.col("fault").isNotNull()) & ~F.col("kind").isin("I", "U", "D", "T") & (F.col("lsn_start") < target) & ((F.col("kind") == "R") | (F.col("lsn_start") >= after)))
+    placed = with_transaction(messages).select("arrival_seq")
+    alone = messages.where((F.col("fault").isNotNull()) & F.col("kind").isin("I", "U", "D", "T") & F.col("lsn_start").between(after, target - 1)).join(placed, "arrival_seq", "left_anti")
+    bad = inside.select("arrival_seq", "kind", "fault").unionAll(outside.select("arrival_seq", "kind", "fault")).unionAll(alone.select("arrival_seq", "kind", "fault"))
+    n = bad.count()
+    if n:
+        first = "; ".join(f"arrival {r['arrival_seq']}, kind {r['kind']}: {r['fault']}" for r in bad.orderBy("arrival_seq").limit(5).collect())
+        raise FaultyLog(f"{n} malformed messages up to position {target}: {first}")
+
+
 def described(changes: DataFrame, messages: DataFrame, relations: dict[str, model.Relation]) -> DataFrame:
     """``changes`` with the ``shape`` (text) and ``fields`` of their relation as last described before them.
 
@@ -123,11 +149,21 @@ def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str,
     did not send come from the versions of the other batches and of this one;
     ``fresh`` names tables that were loaded after ``target``. Each change is
     read as its relation was described when it arrived; columns that the log
-    adds are added to the replica. Returns rows by table.
+    adds are added to the replica. Malformed messages up to ``target`` stop the
+    run before anything is written. Returns rows by table.
     """
     if after >= target:
         return {}
-    messages = pgoutput.decode_frames(frames(spark, log))
+    # Decoded once for the checks and all tables.
+    messages = pgoutput.decode_frames(frames(spark, log)).persist(StorageLevel.DISK_ONLY)
+    try:
+        return _apply(spark, messages, replica, relations, target, batch, after, fresh)
+    finally:
+        messages.unpersist()
+
+
+def _apply(spark: SparkSession, messages: DataFrame, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int, fresh: set[str]) -> dict[str, int]:
+    check_faults(messages, target, after)
     changes = described(bounded(with_transaction(messages), target, after), messages, relations)
     shapes = shapes_of(changes)  # fails before anything is written
     applied = {}
