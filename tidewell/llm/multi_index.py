@@ -116,13 +116,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -
     """The ``k`` nearest found for each row of ``queries``: query_id, rank from 1, vec_id, score.
 
     Both tables have vec_id and embedding; a query's own row (that vec_id) is no
-    candidate. Vectors that :func:`valid` rejects take no part on either side.
+    candidate. The dimension is the most frequent length of a vector, of equally
+    frequent ones the larger. Vectors that :func:`valid` rejects take no part on either side.
     Every other row is indexed, repeated vectors and ids too. Tables of at most
     LEAST_WALK rows are searched whole. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    head = vectors.where("size(embedding) > 0").select(F.size("embedding")).first()
+    lengths = vectors.where("size(embedding) > 0").groupBy(F.size("embedding").alias("length")).count()
+    head = lengths.orderBy(F.desc("count"), F.desc("length")).first()
     if head is None:
         return none
     dimension = head[0]
