@@ -20,7 +20,7 @@ SHINGLE_WORDS, SIMILAR = 5, (80, 100)
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are likelier of grade 0 than of a better one."""
     labels = common.table(spark, sf_dir, "labels")
-    model = quality_classifier.train(quality_classifier.graded(docs, labels, LABELLED_ROWS), levels=3)
+    model = quality_classifier.train(quality_classifier.graded(docs, labels, LABELLED_ROWS), levels=3, max_rows=LABELLED_ROWS)
     return quality_classifier.rate(docs, model).where("p_tail >= 0.5").select(*docs.columns)
 
 

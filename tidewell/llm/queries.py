@@ -50,7 +50,7 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality_classifier.train(quality_classifier.graded(docs, table(spark, sf_dir, "labels"), LABELLED_ROWS), levels=3)
+    model = quality_classifier.train(quality_classifier.graded(docs, table(spark, sf_dir, "labels"), LABELLED_ROWS), levels=3, max_rows=LABELLED_ROWS)
     rated = quality_classifier.rate(docs, model).select("doc_id", "expected_grade", "p_tail")
     return rated.withColumn("kept", F.col("p_tail") >= 0.5)
 
