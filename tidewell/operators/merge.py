@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell import model
+from tidewell import model, store
 
 
 def latest(rows: DataFrame, key: list[str], version: list[Column | str]) -> DataFrame:
@@ -81,13 +81,16 @@ def fill_unsent(rows: DataFrame, history: DataFrame, key: list[str], fresh: bool
     both = both.withColumn("_life", F.struct(*key, F.last(F.when(F.col("_start"), v), ignorenulls=True).over(by_key).alias("_from")))
 
     place = lambda deleted, of: both.where(F.col(model.IS_DELETED) == deleted).select(v["commit_lsn"].alias("_c"), v["ordinal"].alias("_o"), F.col("_life").alias(of))
-    links = place(0, "_to").join(place(1, "_of"), ["_c", "_o"]).select("_to", "_of").localCheckpoint()
+    links = store.materialise(place(0, "_to").join(place(1, "_of"), ["_c", "_o"]).select("_to", "_of"), "lives")
     # Pointer doubling: each round halves the way to the first life of a source row.
     while True:
         ahead = links.select(F.col("_to").alias("_mid"), F.col("_of").alias("_far"))
-        links = links.join(ahead, F.col("_of") == F.col("_mid"), "left").select("_to", F.coalesce("_far", "_of").alias("_of"), F.col("_far").isNotNull().alias("_moved")).localCheckpoint()
-        moved = links.where("_moved").count()
-        links = links.drop("_moved")
+        farther = links.join(ahead, F.col("_of") == F.col("_mid"), "left").select("_to", F.coalesce("_far", "_of").alias("_of"), F.col("_far").isNotNull().alias("_moved"))
+        last, written = links, store.materialise(farther, "lives")
+        store.remove(rows.sparkSession, last._tidewell_path)
+        moved = not written.where("_moved").isEmpty()
+        links = written.drop("_moved")
+        links._tidewell_path = written._tidewell_path
         if not moved:
             break
     both = both.join(links, F.col("_life") == F.col("_to"), "left").withColumn("_row", F.coalesce("_of", "_life")).drop("_to", "_of")

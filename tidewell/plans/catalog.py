@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell import model
+from tidewell import model, store
 from tidewell.functions import formats, keys, lsn
 from tidewell.operators import bind, diff, merge, normalize
 from tidewell.plans import planner
@@ -420,9 +418,8 @@ def decode_binary_roundtrip(spark, sf_dir):
 @query(f"SELECT user_id, event_id, event_type, value FROM ({LAST_EVENT}) WHERE is_deleted = 0")
 def streaming_drain(spark, sf_dir):
     """The event log as a file stream, appended batch by batch to a table and read back as its current state."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewell-")
-    place = f"drain-{uuid.uuid4().hex[:12]}"
-    out, checkpoint = f"{shared}/{place}/rows", f"{shared}/{place}/checkpoint"
+    place = store.scratch(spark, "drain")
+    out, checkpoint = f"{place}/rows", f"{place}/checkpoint"
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     log = stream.select("user_id", "event_id", "event_type", "value", (F.col("event_type") == "error").cast("int").alias("is_deleted"))

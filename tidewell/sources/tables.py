@@ -10,16 +10,11 @@ from pyspark.sql.types import StructType
 
 from tidewell import model
 from tidewell.config import Endpoint
+from tidewell.store import exists, file_system, remove
 
 BATCH = model.META + "batch"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path of any file system that Spark reaches exists."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
@@ -121,14 +116,12 @@ class Replica:
         ordered.write.mode("overwrite").parquet(f"{self.path(table)}/data/{BATCH}={batch}")
 
     def truncate(self, table: str) -> None:
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(table) + "/data")
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        remove(self.spark, self.path(table) + "/data")
 
     def rewrite(self, table: str, change: Callable[[DataFrame], DataFrame], batch: int = 0) -> None:
         """Replace all rows by ``change`` of them, through a second folder that is moved into place."""
         fresh = self.path(table) + "/fresh"
         change(self.read(table)).write.mode("overwrite").parquet(f"{fresh}/{BATCH}={batch}")
         self.truncate(table)
-        jvm = self.spark.sparkContext._jvm
-        source = jvm.org.apache.hadoop.fs.Path(fresh)
-        source.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).rename(source, jvm.org.apache.hadoop.fs.Path(self.path(table) + "/data"))
+        fs, source = file_system(self.spark, fresh)
+        fs.rename(source, file_system(self.spark, self.path(table) + "/data")[1])
