@@ -2,63 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
-SPACE = r"[\x20\x09-\x0D]"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session names none (tests on one machine) a temporary folder is
-    made once, set as the session's checkpoint folder and removed at exit.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="tidewell-")
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+from tidewell.store import discard, materialise, remove, scratch, shared_dir
 
+__all__ = ["SPACE", "discard", "let", "materialise", "n_words", "remove", "scratch", "shared_dir", "small_or_shuffled", "table", "text_or_empty", "words"]
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back.
-
-    This cuts the lineage with files that outlive any executor.
-    """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    read = df.sparkSession.read.schema(df.schema).parquet(path)
-    read._tidewell_path = path
-    return read
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path of any file system that Spark can reach."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete materialised tables that no later step reads, and let Spark drop the shuffle files that led to them."""
-    for t in tables:
-        remove(t.sparkSession, t._tidewell_path)
-    if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+#: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
+SPACE = r"[\x20\x09-\x0D]"
 
 
 def text_or_empty(name: str = "text") -> Column:
