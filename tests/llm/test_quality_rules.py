@@ -1,10 +1,12 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from compare import spark_rows, sql_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewell.llm import queries, quality_rules
 
@@ -66,5 +68,22 @@ def test_edges(edges, nothing):
     assert quality_rules.rate(nothing).count() == 0
 
 
+def test_a_large_group_has_the_same_verdicts_in_every_split(spark, tmp_path):
+    """One group of 12,000 rows: equal to the SQL, whatever the partitions."""
+    noise = F.concat(F.repeat(F.lit("| "), (F.xxhash64("id") % 40 + 40).cast("int") % 11), F.repeat(F.lit("a line of words that is told again\n"), (F.xxhash64("id", F.lit(1)) % 7 + 7).cast("int") % 7))
+    text = F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(40) + (F.col("id") % 30).cast("int")), lambda i: F.concat(F.lit("w"), F.xxhash64("id", i).cast("string"))), " "), F.lit("\n"), noise)
+    spark.range(12_000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("hot").alias("source")).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    first = spark_rows(quality_rules.rate(docs).select(*shown))
+    assert first == spark_rows(quality_rules.rate(docs.repartition(13)).select(*shown))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = db.sql(queries.SQL["op10_quality_rules"])
+    names = sorted(found.columns)
+    assert first == (names, sorted((tuple(r[found.columns.index(n)] for n in names) for r in found.fetchall()), key=repr))
+    assert 0 < sum(r[names.index("kept")] for r in first[1]) < 12_000
+
+
 def test_query_equals_its_sql(spark, sf_dir):
     assert spark_rows(queries.op10_quality_rules(spark, sf_dir)) == sql_rows(queries.SQL["op10_quality_rules"], sf_dir)

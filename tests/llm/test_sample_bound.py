@@ -6,7 +6,7 @@ from tidewell.llm import queries
 
 
 def test_all_of_the_bounded_sample_is_fitted_on(spark, tmp_path, monkeypatch):
-    rows = spark.range(8100).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    rows = spark.range(10_300).selectExpr("id AS doc_id", "concat('text ', id) AS text")
     rows.write.parquet(f"{tmp_path}/documents.parquet")
     rows.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
     fitted = []

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -57,6 +58,42 @@ def test_only_unseen_pairs_are_scanned(spark, docs):
     assert sum(len(r["secret_spans"]) for r in secrets.scan(docs, ledger, stricter).collect()) < sum(len([s for s in expected(t) if s[0] == "assign"]) for t in TEXTS)
 
 
+def test_known_blobs_do_not_move(spark, docs):
+    """A second run scans what the ledger lacks, and of known blobs only hashes are looked up."""
+    ledger = common.scratch(spark, "ledger")
+    blobs = secrets.with_blob(docs)
+    assert secrets.update(blobs, ledger) is None
+    assert secrets.update(blobs, ledger) == 0
+    more = docs.unionAll(spark.createDataFrame([(99, "new password=abcdefgh"), (100, "new password=abcdefgh"), (101, None)], docs.schema))
+    assert secrets.update(secrets.with_blob(more), ledger) == 1
+    assert secrets.open_ledger(spark, ledger).count() == len(TEXTS) + 1
+
+
+def test_very_many_findings_in_one_text(spark):
+    text = "".join(f"é token=abcdef{i} {'0123456789abcdef' * 2} " for i in range(3000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = secrets.scan(docs, common.scratch(spark, "ledger")).withColumn("clean", secrets.redact(F.col("text"), F.col("secret_spans"))).first()
+    assert [tuple(s) for s in row["secret_spans"]] == expected(text)
+    assert row["clean"] == "é [assign] [hex] " * 3000
+
+
+def test_overlapping_spans_are_redacted_once(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choice("aé😀 ") for _ in range(40))
+        spans = sorted((a, rng.choice("xyz"), a + rng.randrange(1, 9)) for a in rng.sample(range(30), rng.randrange(12)))
+        rows.append((text, [{"kind": k, "start": a, "end": b} for a, k, b in spans]))
+    frame = spark.createDataFrame(rows, f"text string, spans array<{secrets.SPAN}>")
+    for r in frame.withColumn("clean", secrets.redact(F.col("text"), F.col("spans"))).collect():
+        out, at = "", 0
+        for s in r["spans"]:
+            if s["start"] >= at:
+                out += r["text"][at : s["start"]] + f"[{s['kind']}]"
+            at = max(at, s["end"])
+        assert r["clean"] == (out + r["text"][at:] if r["spans"] else r["text"])
+
+
 def test_edges(spark, edges, nothing):
     rows = secrets.scan(edges.withColumn("blob_id", F.lit(1)), common.scratch(spark, "ledger")).collect()
     assert len(rows) == 9 and all(r["secret_spans"] == [] for r in rows)

@@ -1,3 +1,7 @@
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -38,6 +42,46 @@ def test_one_class_or_none(spark, nothing):
     assert toxicity.score(nothing, none).count() == 0
 
 
+def test_ties_repeats_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "doc_id long, text string").withColumn("label", F.lit("x")).withColumn("toxic", F.lit("y"))
+    labels = spark.createDataFrame([(1, 0), (1, 0), (1, None), (2, 1), (None, 1), (9, 1)], "doc_id long, toxic int")
+    found = sorted(map(tuple, toxicity.labelled_texts(docs, labels, "toxic").collect()))
+    assert not {1, 2} & {d for d in (1, 2) if zlib.crc32(str(d).encode()) % 5 == 0}
+    assert found == [("a", 0), ("a", 0), ("b", 0), ("b", 0), ("c", 1)]
+    assert toxicity.labelled_texts(docs.where("doc_id > 9"), labels, "toxic").count() == 0
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    """The counts, ratios, chosen n-grams and scores of the whole query from Python sets; and accuracy on the fold that no fit has seen."""
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 0 for d in texts}
+    rows = [(texts[r["doc_id"]], r["toxic"]) for r in labels.collect() if r["doc_id"] in texts and not held[r["doc_id"]] and r["toxic"] is not None]
+
+    def grams(text):
+        return {int(g) for _, part in toxicity.ngrams([text]) for g in part}
+
+    sets = [(grams(t), y) for t, y in rows]
+    counts = [Counter(g for own, y in sets if y == c for g in own) for c in (0, 1)]
+    model = toxicity.train(toxicity.labelled_texts(docs, labels, "toxic"))
+    chosen = set(np.flatnonzero(model.chosen >= 0).tolist())
+    n = [sum(y == c for _, y in sets) for c in (0, 1)]
+
+    def g_squared(g):
+        both, total = counts[0][g] + counts[1][g], sum(n)
+        cells = [(counts[c][g], both * n[c] / total) for c in (0, 1)] + [(n[c] - counts[c][g], (total - both) * n[c] / total) for c in (0, 1)]
+        return sum(o * math.log(o / e) for o, e in cells if o)
+
+    strong = {g for g in set(counts[0]) | set(counts[1]) if g_squared(g) >= toxicity.SIGNIFICANT}
+    assert (chosen == strong) if len(strong) <= 4096 else (chosen <= strong and len(chosen) == 4096)
+    found = {r["doc_id"]: r for r in queries.op1_toxicity(spark, sf_dir).collect()}
+    assert found.keys() == texts.keys()
+    for d, t in texts.items():
+        z = model.bias + sum(model.weights[model.chosen[g]] for g in grams(t) & chosen)
+        assert abs(found[d]["score"] - 1 / (1 + math.exp(-max(-35, min(35, z))))) < 1e-9
+        assert found[d]["held_out"] == held[d] and found[d]["predicted"] == int(found[d]["score"] >= 0.5)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = queries.op1_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")

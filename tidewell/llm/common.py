@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from tidewell.store import discard, materialise, remove, scratch, shared_dir
 
-__all__ = ["SPACE", "discard", "let", "materialise", "n_words", "remove", "scratch", "shared_dir", "small_or_shuffled", "table", "text_or_empty", "words"]
+__all__ = ["LABELLED_ROWS", "SPACE", "discard", "held_out", "let", "materialise", "n_words", "remove", "scratch", "shared_dir", "small_or_shuffled", "table", "text_or_empty", "words"]
 
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 
 
+#: Labelled rows that a classifier is fitted on at most.
+LABELLED_ROWS = 8000
+
+
+def held_out(doc_id: Column, folds: int = 5) -> Column:
+    """Whether crc32 of the id as text is divisible by ``folds``; a null id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -6,9 +6,10 @@ each half by distance, walks the pairs of centroids by their summed distance
 with a heap until the cells passed hold enough entries, and reranks the entries
 of these cells by exact inner products. Distance is the negative inner product.
 
-How many entries are enough is measured: a bounded sample of queries is
-searched by brute force in one scan, and the walk is made as long as
-``TARGET`` of their true neighbours need.
+How many entries are enough is measured, for tables of every size: a bounded
+sample of queries is searched by brute force in one scan, and the walk is made
+as long as ``TARGET`` of their true neighbours need. Random vectors in many
+dimensions need a large share of all entries, clustered ones a small one.
 
 Cells are gathered into shelves of about SHELF_ROWS entries; a larger cell is
 dealt by hash over several shelves. Entries and queries meet by shelf, where
@@ -29,21 +30,21 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import common
 
+#: Rows that the codebooks are fitted on; a centroid stands for ROWS_A_CENTROID of them at least.
 FIT_ROWS = 20_000
+ROWS_A_CENTROID = 10
 TEST_QUERIES = 100
 TARGET = 0.95
 ENTRIES_A_CELL = 32
-MOST_CENTROIDS = 512
-LEAST_WALK = 2048
 SHELF_ROWS = 4096
 SHELF_QUERIES = 2048
 
 
-def valid(vectors: DataFrame, dimension: int) -> DataFrame:
+def valid(vectors: DataFrame, dimension: int, kind: str) -> DataFrame:
     """(vec_id, embedding) without vectors that are null, zero, of another length, or hold null or non-finite components."""
-    e = F.col("embedding")
-    fine = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.select(F.col("vec_id").cast("long"), e).where(F.col("vec_id").isNotNull() & (F.size(e) == dimension) & fine & F.exists(e, lambda x: x != 0))
+    e = F.col("embedding").cast(kind)
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vectors.select(F.col("vec_id").cast("long"), e.alias("embedding")).where(F.col("vec_id").isNotNull() & (F.size(F.col("embedding")) == dimension) & fine & F.exists("embedding", lambda x: x != 0))
 
 
 def matrix(column: pa.Array, dimension: int) -> np.ndarray:
@@ -112,15 +113,18 @@ def best(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray, rough:
     return ids[chosen][order], scores[order]
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8, report: dict | None = None) -> DataFrame:
     """The ``k`` nearest found for each row of ``queries``: query_id, rank from 1, vec_id, score.
 
     Both tables have vec_id and embedding; a query's own row (that vec_id) is no
     candidate. The dimension is the most frequent length of a vector, of equally
     frequent ones the larger. Vectors that :func:`valid` rejects take no part on either side.
-    Every other row is indexed, repeated vectors and ids too. Tables of at most
-    LEAST_WALK rows are searched whole. An empty table gives no rows.
+    Every other row is indexed, repeated vectors and ids too. Components may be
+    of any number type; they are taken as floats if they are, else as doubles.
+    Other columns are ignored. An empty table gives no rows. ``report`` gets
+    the number of entries and cells and the length of a walk.
     """
+    kind = "array<float>" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "array<double>"
     spark = vectors.sparkSession
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lengths = vectors.where("size(embedding) > 0").groupBy(F.size("embedding").alias("length")).count()
@@ -128,8 +132,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -
     if head is None:
         return none
     dimension = head[0]
-    rows = common.materialise(valid(vectors, dimension), "vectors")
-    queries = valid(queries, dimension)
+    rows = common.materialise(valid(vectors, dimension, kind), "vectors")
+    queries = valid(queries, dimension, kind)
     total = rows.count()
     if not total:
         return none
@@ -138,7 +142,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -
     pad = dimension % 2
     half = (dimension + pad) // 2
     widened = np.pad(fit, ((0, 0), (0, pad)))
-    size = int(max(1, min(round((total / ENTRIES_A_CELL) ** 0.5), MOST_CENTROIDS, len(fit))))
+    size = int(max(1, min(round((total / ENTRIES_A_CELL) ** 0.5), -(-len(fit) // ROWS_A_CENTROID))))
     books = np.stack([kmeans(widened[:, h * half : (h + 1) * half], size, seed + h) for h in (0, 1)])
     code = spark.sparkContext.broadcast(books)
 
@@ -148,11 +152,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -
                 cell = cells_of(np.pad(matrix(b.column("embedding"), dimension), ((0, 0), (0, pad))), code.value)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32())], [*b.schema.names, "cell"])
 
-    entries = common.materialise(rows.mapInArrow(quantise, "vec_id long, embedding array<float>, cell int"), "entries")
+    entries = common.materialise(rows.mapInArrow(quantise, f"vec_id long, embedding {kind}, cell int"), "entries")
     sizes = np.zeros(size * size, np.int64)
     for r in entries.groupBy("cell").count().collect():
         sizes[r["cell"]] = r["count"]
-    enough = total if total <= LEAST_WALK else calibrate(entries, queries, books, sizes, dimension, k)
+    # Rows of a query's own id are passed too and do not count.
+    repeats = entries.groupBy("vec_id").count().agg(F.max("count")).first()[0]
+    enough = max(k + repeats, calibrate(entries, queries, books, sizes, dimension, k))
+    if report is not None:
+        report |= {"entries": total, "cells": size * size, "walk": min(enough, total)}
 
     # Shelves: runs of cells with SHELF_ROWS entries, or parts of one large cell.
     shelf, parts, at, held = np.zeros(size * size, np.int64), np.ones(size * size, np.int64), 0, 0
@@ -184,7 +192,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -
             taken = b.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("vec_id"), taken.column("embedding"), pa.array(shelves, pa.int64()), pa.array(cells, pa.list_(pa.int32()))], ["query_id", "query", "shelf", "cells"])
 
-    asked = queries.repartition(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(visits, "query_id long, query array<float>, shelf long, cells array<int>")
+    asked = queries.repartition(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(visits, f"query_id long, query {kind}, shelf long, cells array<int>")
     asked = common.materialise(asked, "visits")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +202,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 8) -
             dealt = ((ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts[cell]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shelf[cell] + dealt)], [*b.schema.names, "shelf"])
 
-    placed = entries.mapInArrow(place, "vec_id long, embedding array<float>, cell int, shelf long")
+    placed = entries.mapInArrow(place, f"vec_id long, embedding {kind}, cell int, shelf long")
     copies = asked.groupBy("shelf").agg(F.ceil(F.count("*") / SHELF_QUERIES).cast("int").alias("copies"))
     left = asked.join(copies, "shelf").withColumn("copy", F.pmod(F.xxhash64("query_id"), F.col("copies")).cast("int"))
     right = placed.join(copies, "shelf").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
@@ -228,7 +236,7 @@ def calibrate(entries: DataFrame, queries: DataFrame, books: np.ndarray, sizes:
     spark = entries.sparkSession
     picked = queries.orderBy(F.xxhash64(F.lit(1), "vec_id"), "vec_id").limit(TEST_QUERIES).toPandas()
     if not len(picked):
-        return LEAST_WALK
+        return 0
     tests = np.stack(picked["embedding"].to_numpy()).astype(float)
     shared = spark.sparkContext.broadcast((tests, picked["vec_id"].to_numpy()))
 
@@ -254,4 +262,4 @@ def calibrate(entries: DataFrame, queries: DataFrame, books: np.ndarray, sizes:
         order = walk(np.pad(tests[r["query"]], (0, pad)), books, sizes, total)
         passed = dict(zip(order, np.cumsum(sizes[order]).tolist(), strict=True))
         need += [passed[x["cell"]] for x in r["top"]]
-    return max(LEAST_WALK, int(np.quantile(need, TARGET, method="higher"))) if need else LEAST_WALK
+    return int(np.quantile(need, TARGET, method="higher")) if need else 0

@@ -35,15 +35,16 @@ def secret_scans() -> str:
 
 
 def quality_verdicts() -> str:
-    """Quartiles are exact here, as a sketch's are while its group has no more rows than it keeps."""
+    """Quartiles of whole bins, by sorting every row's bin."""
     w = quality_rules.WINDOW
-    quartile = lambda ratio, q: f"list_sort(list(({ratio})::DOUBLE) FILTER (n_words > 0))[greatest(1, ceil({q} * count(*) FILTER (n_words > 0)))::BIGINT]"
-    bounds = ", ".join(f"{quartile(ratio, q)} AS {rule}_{n}" for rule, ratio, _, _ in quality_rules.RULES for q, n in ((0.25, "a"), (0.75, "b")))
+    binned = lambda over, under, bins: f"({over} * {bins}) // {under}"
+    quartile = lambda at, q: f"list_sort(list({at}) FILTER (n_words > 0))[(({q} * count(*) FILTER (n_words > 0) + 3) // 4)::BIGINT]"
+    bounds = ", ".join(f"{quartile(binned(*of), q)} AS {rule}_{q}" for rule, *of, _, _ in quality_rules.RULES for q in (1, 3))
     passes = " AND ".join(
-        f"(({ratio})::DOUBLE <= {rule}_b + greatest({rule}_b - {rule}_a, {least}) * {quality_rules.REACH}"
-        + (f" AND ({ratio})::DOUBLE >= {rule}_a - greatest({rule}_b - {rule}_a, {least}) * {quality_rules.REACH}" if both else "")
+        f"({binned(*of)} <= {rule}_3 + greatest({rule}_3 - {rule}_1, {least}) * {quality_rules.REACH}"
+        + (f" AND {binned(*of)} >= {rule}_1 - greatest({rule}_3 - {rule}_1, {least}) * {quality_rules.REACH}" if both else "")
         + ")"
-        for rule, ratio, least, both in quality_rules.RULES
+        for rule, *of, least, both in quality_rules.RULES
     )
     return rf"""
     WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -74,17 +75,6 @@ def warc_records(least: int) -> str:
         CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM rows"""
 
 
-def nearest_vectors() -> str:
-    """Brute force; equal to the index while a table is small enough to be searched whole."""
-    return """
-    WITH fine AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
-        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0),
-    pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)], lambda a, b: a + b) AS score
-        FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND c.vec_id != q.vec_id)
-    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
-    FROM pairs QUALIFY rank <= 20"""
-
-
 def similar_documents(k: int, num: int, den: int) -> str:
     """All pairs that share a shingle, and what they reach: for small tables."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewell.llm import common
-from tidewell.llm.wordhash import WordHasher, chunks, mix
+from tidewell.llm.wordhash import CHUNK_BYTES, WordHasher, chunks, distinct, mix
 
 WORD_BITS = 16
 SHAPE_BITS = 12
@@ -36,16 +36,55 @@ def _classes() -> np.ndarray:
     return table
 
 
+def long_features(text: bytes, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`features` of one text of any length, from pieces of it."""
+    n, repeated, last, tokens = 0, 0, np.zeros(0, np.uint64), np.zeros(1 << WORD_BITS, np.int64)
+
+    def words() -> Iterator[np.ndarray]:
+        nonlocal n, repeated, last, tokens
+        for word in hasher.stream(text):
+            tokens += np.bincount((word >> np.uint64(64 - WORD_BITS)).astype(np.int64), minlength=len(tokens))
+            joined = np.concatenate((last, word))
+            n, repeated, last = n + len(word), repeated + int((joined[1:] == joined[:-1]).sum()), joined[-1:]
+            yield word
+
+    different = len(distinct(words()))
+    used = np.flatnonzero(tokens)
+    columns, values = [used], [np.log1p(tokens[used]) / np.sqrt(np.log1p(len(used))) / 2]
+    size, shapes = len(text) + 1, np.zeros((3, 1 << SHAPE_BITS), np.int64)
+    for at in range(0, size, CHUNK_BYTES):
+        part = _classes()[np.frombuffer(text[at : at + CHUNK_BYTES + 2] + b"\n" * (at + CHUNK_BYTES + 2 >= size), np.uint8)]
+        total = np.zeros(len(part), np.uint64)
+        for k in range(3):
+            total = total[: len(part) - k] * np.uint64(257) + part[k:] + np.uint64(1)
+            own = total[:CHUNK_BYTES]
+            shapes[k] += np.bincount((mix(own + np.uint64(k)) >> np.uint64(64 - SHAPE_BITS)).astype(np.int64), minlength=1 << SHAPE_BITS)
+    for times in shapes:
+        used = np.flatnonzero(times)
+        columns.append((1 << WORD_BITS) + used)
+        values.append(np.sqrt(times[used] / size))
+    lines = text.count(b"\n") + 1
+    empty = b"\n\n" in text or text[:1] == b"\n" or text[-1:] == b"\n"
+    unlike = len(distinct(WordHasher(False, breaks=b"\n").stream(text))) + empty
+    for i, share in enumerate((repeated / max(n, 1), different / max(n, 1), 1 - unlike / lines)):
+        columns.append(np.array([(1 << WORD_BITS) + (1 << SHAPE_BITS) + 16 * i + min(15, int(share * 16))]))
+        values.append(np.ones(1))
+    columns = np.concatenate(columns)
+    return np.zeros(len(columns), np.int64), columns, np.concatenate(values)
+
+
 def features(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text index, hashed token, value) of a run of texts. Words weigh log counts over the text's length, shapes the root of their share."""
+    if len(texts) == 1 and len(texts[0]) > CHUNK_BYTES:
+        return long_features(texts[0], hasher)
     word, owner, counts = hasher.words(texts)
     n = np.maximum(counts, 1)
     rows, columns, values = [], [], []
     key, times = np.unique((owner.astype(np.int64) << WORD_BITS) | (word >> np.uint64(64 - WORD_BITS)).astype(np.int64), return_counts=True)
-    distinct = np.bincount(key >> WORD_BITS, minlength=len(texts))
+    kinds = np.bincount(key >> WORD_BITS, minlength=len(texts))
     rows.append(key >> WORD_BITS)
     columns.append(key & ((1 << WORD_BITS) - 1))
-    values.append(np.log1p(times) / np.sqrt(np.log1p(distinct[rows[0]])) / 2)
+    values.append(np.log1p(times) / np.sqrt(np.log1p(kinds[rows[0]])) / 2)
 
     stream = _classes()[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
     sizes = np.array([len(t) + 1 for t in texts])
@@ -79,32 +118,38 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, levels: int, width: int, l2: float = 1e-4, rounds: int = 150, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and the ``levels`` - 1 ordered thresholds, by full-batch Adam on the mean log loss.
+def cuts_of(x: np.ndarray, width: int) -> np.ndarray:
+    """The thresholds of parameters ``x``: weights, the first threshold and logarithms of the steps to the next, so thresholds stay ordered."""
+    return x[width] + np.concatenate(([0.0], np.cumsum(np.exp(x[width + 1 :]))))
 
-    Thresholds are a first one and logarithms of the steps to the next, so they
-    stay ordered whatever the updates are.
-    """
-    n = len(grades)
+
+def loss(x: np.ndarray, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, width: int, l2: float) -> tuple[float, np.ndarray]:
+    """The mean negative log likelihood of ``grades`` with a ridge on the weights, and its gradient."""
+    n, levels = len(grades), len(x) - width + 1
+    score = np.bincount(rows, x[columns] * values, n)
+    bounds = np.concatenate(([-np.inf], cuts_of(x, width), [np.inf]))
+    upper, lower = _logistic(bounds[grades + 1] - score), _logistic(bounds[grades] - score)
+    share = np.maximum(upper - lower, 1e-9)
+    slope_up, slope_low = upper * (1 - upper), lower * (1 - lower)
+    slope_up, slope_low = np.where(grades == levels - 1, 0, slope_up), np.where(grades == 0, 0, slope_low)
+    d_score = (slope_up - slope_low) / share / n
+    d_cuts = np.array([(np.where(grades == k, -slope_up, 0) + np.where(grades == k + 1, slope_low, 0)) @ (1 / share) / n for k in range(levels - 1)])
+    d_steps = np.array([d_cuts[i + 1 :].sum() * np.exp(x[width + 1 + i]) for i in range(levels - 2)])
+    slope = np.concatenate((np.bincount(columns, d_score[rows] * values, width) + l2 * x[:width], [d_cuts.sum()], d_steps))
+    return float(-np.log(share).mean() + l2 / 2 * x[:width] @ x[:width]), slope
+
+
+def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, levels: int, width: int, l2: float = 1e-4, rounds: int = 150, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and the ``levels`` - 1 ordered thresholds, by full-batch Adam on :func:`loss`."""
     below = np.clip([(grades <= k).mean() for k in range(levels - 1)], 1e-3, 1 - 1e-3)
     start = np.log(below / (1 - below))
-    steps = np.log(np.maximum(np.diff(start), 1e-2))
-    x = np.concatenate((np.zeros(width), start[:1], steps))
+    x = np.concatenate((np.zeros(width), start[:1], np.log(np.maximum(np.diff(start), 1e-2))))
     m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, rounds + 1):
-        cuts = x[width] + np.concatenate(([0.0], np.cumsum(np.exp(x[width + 1 :]))))
-        score = np.bincount(rows, x[columns] * values, n)
-        bounds = np.concatenate(([-np.inf], cuts, [np.inf]))
-        upper, lower = _logistic(bounds[grades + 1] - score), _logistic(bounds[grades] - score)
-        share = np.maximum(upper - lower, 1e-9)
-        slope_up, slope_low = upper * (1 - upper), lower * (1 - lower)
-        d_score = (slope_up - slope_low) / share / n
-        d_cuts = np.array([(np.where(grades == k, -slope_up, 0) + np.where(grades == k + 1, slope_low, 0)) @ (1 / share) / n for k in range(levels - 1)])
-        d_steps = np.array([d_cuts[i + 1 :].sum() * np.exp(x[width + 1 + i]) for i in range(levels - 2)])
-        g = np.concatenate((np.bincount(columns, d_score[rows] * values, width) + l2 * x[:width], [d_cuts.sum()], d_steps))
+        _, g = loss(x, rows, columns, values, grades, width, l2)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         x = x - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return x[:width], x[width] + np.concatenate(([0.0], np.cumsum(np.exp(x[width + 1 :]))))
+    return x[:width], cuts_of(x, width)
 
 
 def tails(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
@@ -112,11 +157,11 @@ def tails(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return 1 - _logistic(thresholds[None, :] - scores[:, None])
 
 
-def train(rated: DataFrame, levels: int, max_rows: int = 6000, tasks: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def train(rated: DataFrame, levels: int, max_rows: int = common.LABELLED_ROWS, tasks: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Fit on at most ``max_rows`` rows of ``rated`` (text, grade of 0 to ``levels`` - 1), lowest text hashes first.
 
-    Features are made where the texts are; the driver gets at most WIDTH of
-    them a row. Rows without a grade are ignored. Without rows every text is
+    Features are made where the texts are, in pieces where a text is long; the
+    driver gets at most WIDTH of them a row. Rows without a grade are ignored. Without rows every text is
     held to have the highest grade, so that nothing is rejected unlearned.
     """
     sample = rated.where("grade IS NOT NULL").select(common.text_or_empty().alias("text"), F.col("grade").cast("int").alias("grade"))
@@ -167,12 +212,15 @@ def rate(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bar: int = 1) ->
     return docs.mapInArrow(work, schema)
 
 
-def graded(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """(text, grade) of at most ``max_rows`` labelled documents: 0 poor, 1 good but toxic, 2 good.
+def graded(docs: DataFrame, labels: DataFrame, max_rows: int = common.LABELLED_ROWS) -> DataFrame:
+    """(text, grade) of at most ``max_rows`` labels outside the held-out fold: 0 poor, 1 good but toxic, 2 good.
 
-    The bounded sample of labels is broadcast to one scan of the texts.
+    Lowest hashes of doc_id come first. The bounded sample of labels is
+    broadcast to one scan of the texts. A document that repeats, or that has
+    several labels, is there once for each pair. Labels without a document, a
+    doc_id or a grade are left out; empty tables give none.
     """
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
-    rows = labels.select("doc_id", grade.alias("grade")).where("grade IS NOT NULL AND doc_id IS NOT NULL")
+    rows = labels.select("doc_id", grade.alias("grade")).where(F.col("grade").isNotNull() & F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id")))
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(max_rows)
     return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("text", "grade")

@@ -2,15 +2,17 @@
 
 Counts are DataFrame expressions. Fixed cutoffs reject texts that are bad
 anywhere; beyond those, each rule compares a ratio with a fence drawn from the
-quartiles of its (language, source) group. Quartiles come from KLL sketches,
-which merge: they are built where the rows are, and a group that holds a third
-of all rows costs one small sketch a task. The table of fences, one row a
-group, is then joined to the rows.
+quartiles of its (language, source) group. Quartiles come from histograms with
+fixed bins, a quantile sketch that merges by adding counts: each is built where
+the rows are, so a group that holds a third of all rows costs its occupied bins
+a task. A quartile is exact up to one bin, at every size and however the rows
+are split, and verdicts compare whole bins, so no rounding decides. The table
+of fences, one row a group, is then joined to the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
@@ -18,16 +20,14 @@ from tidewell.llm.common import let, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
-#: Items a sketch keeps; groups of fewer rows have exact quartiles.
-SKETCH_K = 400
 #: A fence stands so many quartile distances outside the quartiles.
-REACH = 6.0
-#: (rule, ratio, least quartile distance, whether low values fail too).
+REACH = 6
+#: (rule, numerator, denominator, bins for 1, least quartile distance in bins, whether low values fail too).
 RULES = [
-    ("symbols", "n_symbols / n_words", 0.05, False),
-    ("dup_lines", "n_dup_lines / n_lines", 0.10, False),
-    ("repeats", "n_repeat_words / n_words", 0.05, False),
-    ("word_length", "word_chars / n_words", 0.50, True),
+    ("symbols", "n_symbols", "n_words", 1000, 50, False),
+    ("dup_lines", "n_dup_lines", "n_lines", 1000, 100, False),
+    ("repeats", "n_repeat_words", "n_words", 1000, 50, False),
+    ("word_length", "word_chars", "n_words", 100, 50, True),
 ]
 
 
@@ -77,34 +77,44 @@ def counts(docs: DataFrame) -> DataFrame:
     return rows.select(*kept, F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", F.col("_l.n").alias("n_lines"), F.col("_l.d").alias("n_dup_lines"), F.col("_w.r").alias("n_repeat_words"))
 
 
-def fences(rows: DataFrame, reach: float = REACH, k: int = SKETCH_K) -> DataFrame:
-    """One row a (lang, source) with ``low_<rule>`` and ``high_<rule>``, from the rows that have words."""
-    sketched = rows.where("n_words > 0").groupBy("lang", "source").agg(*[F.kll_sketch_agg_double(F.expr(ratio).cast("double"), F.lit(k)).alias(rule) for rule, ratio, _, _ in RULES])
-    quartiles = sketched.select("lang", "source", *[F.kll_sketch_get_quantile_double(rule, F.lit(q)).alias(f"{rule}_{end}") for rule, *_ in RULES for end, q in (("low", 0.25), ("high", 0.75))])
+def bin_of(rule: str) -> Column:
+    """The bin of a row's ratio under ``rule``; null without words."""
+    _, over, under, bins, *_ = next(r for r in RULES if r[0] == rule)
+    return F.when(F.col("n_words") > 0, F.expr(f"({over} * {bins}) div {under}"))
+
+
+def fences(rows: DataFrame, reach: int = REACH) -> DataFrame:
+    """One row a (lang, source) with ``low_<rule>`` and ``high_<rule>`` in bins, from the rows that have words."""
+    each = F.explode(F.array(*[F.struct(F.lit(r[0]).alias("rule"), bin_of(r[0]).alias("bin")) for r in RULES]))
+    counts = rows.where("n_words > 0").select("lang", "source", each.alias("_b")).groupBy("lang", "source", "_b.rule", "_b.bin").count()
+    group = Window.partitionBy("lang", "source", "rule")
+    up = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumns({"_upto": F.sum("count").over(up), "_all": F.sum("count").over(group)})
+    quartile = lambda rule, q: F.min(F.when((F.col("rule") == rule) & (4 * F.col("_upto") >= q * F.col("_all")), F.col("bin")))
+    quartiles = counts.groupBy("lang", "source").agg(*[quartile(r[0], q).alias(f"{r[0]}_{q}") for r in RULES for q in (1, 3)])
     found = []
-    for rule, _, least, _ in RULES:
-        low, high = F.col(f"{rule}_low"), F.col(f"{rule}_high")
+    for rule, _, _, _, least, _ in RULES:
+        low, high = F.col(f"{rule}_1"), F.col(f"{rule}_3")
         distance = F.greatest(high - low, F.lit(least)) * reach
         found += [(low - distance).alias(f"low_{rule}"), (high + distance).alias(f"high_{rule}")]
     return quartiles.select("lang", "source", *found)
 
 
-def rate(docs: DataFrame, reach: float = REACH) -> DataFrame:
+def rate(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """Counts, ``base_failed``, ``failed_rules`` and ``kept`` for each row of ``docs``.
 
     Null languages and sources form groups of their own. A null or empty text
     has no words and fails. Repeated rows get equal results; an empty table
     gives no rows. All columns but the text and those made here stay.
     """
-    # Written once: the texts are read a single time for the sketches and the verdicts.
+    # Written once: the texts are read a single time for the histograms and the verdicts.
     rows = common.materialise(counts(docs.drop("base_failed", "failed_rules", "kept", "_lang", "_source")), "quality-counts")
-    bounds = fences(rows, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    joined = rows.join(bounds, rows["lang"].eqNullSafe(bounds["_lang"]) & rows["source"].eqNullSafe(bounds["_source"]), "left")
+    bounds = common.materialise(fences(rows, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"}), "quality-fences")
+    joined = rows.join(common.small_or_shuffled(bounds), rows["lang"].eqNullSafe(F.col("_lang")) & rows["source"].eqNullSafe(F.col("_source")), "left")
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     failed = []
-    for rule, ratio, _, both in RULES:
-        value = F.when(F.col("n_words") > 0, F.expr(ratio).cast("double"))
-        outside = (value > F.col(f"high_{rule}")) | (F.lit(both) & (value < F.col(f"low_{rule}")))
+    for rule, *_, both in RULES:
+        outside = (bin_of(rule) > F.col(f"high_{rule}")) | (F.lit(both) & (bin_of(rule) < F.col(f"low_{rule}")))
         failed.append(F.when(outside, F.lit(rule)))
     joined = joined.withColumn("base_failed", base).withColumn("failed_rules", F.array_compact(F.array(*failed)))
     return joined.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).select(*rows.columns, "base_failed", "failed_rules", "kept")

@@ -2,14 +2,17 @@
 
 Every historical version of a file is a blob named by the SHA-256 of its
 content. The ledger remembers which (blob, rule, version of the rule) have been
-scanned and what was found. A scan hashes all versions, keeps one copy of each
-blob that has a rule not yet seen in the ledger, runs only those rules, and
-appends to the ledger. Findings are then joined back to all paths that carry
-the blob. All of it is DataFrame expressions.
+scanned and what was found. A scan hashes all versions and looks the hashes up
+in the ledger; only texts of blobs with a rule not yet seen there move, one
+copy of each, and only those rules run. The ledger is appended to, and findings
+are joined back to all paths that carry the blob. All of it is DataFrame
+expressions.
 
 Places of matches come from splitting the text at the same pattern: a match
 starts where the pieces and matches before it end. Both Java functions scan
 alike, leftmost first and without overlap, and lengths count code points.
+Arrays are summed up in blocks of the root of their length, so a text of n
+findings costs n ** 1.5 short steps.
 """
 
 from __future__ import annotations
@@ -51,6 +54,24 @@ RULES = [
 BASE = ("assign", "access", "hex")
 
 
+def blocked(values: Column, body) -> Column:
+    """``body`` of (block, number of the block) for the runs of about the root of the number of ``values``, in order; empty for none."""
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values))).cast("int"))
+    places = F.when(F.size(values) > 0, F.sequence(F.lit(0), ((F.size(values) - 1) / width).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return let(F.struct(values.alias("v"), width.alias("w")), lambda x: F.transform(places, lambda b: body(F.slice(x["v"], b * x["w"] + 1, x["w"]), b)))
+
+
+def running(values: Column, add) -> Column:
+    """The sums, by ``add``, of the first 1, 2, ... of an array of integers of 0 or more."""
+    total = lambda part: F.aggregate(part, F.lit(0), lambda a, x: add(a, x))
+    first = lambda part, n: F.slice(part, F.lit(1), n)
+
+    def inside(totals: Column) -> Column:
+        return F.flatten(blocked(values, lambda part, b: let(total(first(totals, b)), lambda at: F.transform(part, lambda _, i: add(at, total(first(part, i + 1)))))))
+
+    return let(blocked(values, lambda part, _: total(part)), inside)
+
+
 def matches(text: Column, rule: Rule) -> Column:
     """The rule's findings in ``text``, in order, as an array of spans; code points, end exclusive."""
     pattern = F.lit(rule.pattern)
@@ -62,15 +83,10 @@ def matches(text: Column, rule: Rule) -> Column:
     Span = lambda start, end: F.struct(F.lit(rule.kind).alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end"))
 
     def place(x: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-
-        def step(state: Column, i: Column) -> Column:
-            begin = state["at"] + F.length(F.get(x["gaps"], i))
-            end = begin + F.length(F.get(x["m"], i))
-            kept = F.length(F.get(x["g"], i)) >= rule.least if rule.least else F.lit(True)
-            return F.struct(end.alias("at"), F.when(kept, F.concat(state["spans"], F.array(Span(begin, end)))).otherwise(state["spans"]).alias("spans"))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), start, step)["spans"]
+        # Where each match ends: the lengths of the pieces and matches up to it.
+        steps = F.transform(x["m"], lambda m, i: F.length(F.get(x["gaps"], i)) + F.length(m))
+        made = let(running(steps, lambda a, b: a + b), lambda ends: F.transform(ends, lambda end, i: F.struct(Span(end - F.length(F.get(x["m"], i)), end).alias("span"), F.length(F.get(x["g"], i)).alias("size"))))
+        return F.transform(F.filter(made, lambda f: f["size"] >= rule.least), lambda f: f["span"])
 
     return F.when(F.regexp_like(text, pattern), let(found, place)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
@@ -84,27 +100,42 @@ def open_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
-def update(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -> None:
+def update(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -> int | None:
     """Scan the blobs of ``versions`` (blob_id, text) for the rules that the ledger lacks, and append to it.
 
-    A rerun, or a run that was cut short and repeated, scans nothing twice. A
-    copy of a blob is kept before the exchange and one after it, so copies cost
-    no more than their hash.
+    A rerun, or a run that was cut short and repeated, scans nothing twice. Of
+    the blobs that the ledger knows only hashes move; the texts of others are
+    told by a table of bits over the hashes of the blobs to be scanned, 16 for
+    each but no more than 2**26, which is broadcast. A copy of a blob is kept
+    before the exchange and one after it, so copies cost no more than their
+    hash. Returns the number of blobs scanned, None for a ledger's first scan.
     """
     spark = versions.sparkSession
     known = open_ledger(spark, ledger)
-    # An empty ledger needs no join, and the common case is that most blobs are known.
-    fresh = known.isEmpty()
-    blobs = versions.select("blob_id", "text").dropDuplicates(["blob_id"])
-    if not fresh:
-        seen = known.groupBy("blob_id").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
-        blobs = blobs.join(seen, "blob_id", "left")
     wanted = F.array(*[F.lit(r.key) for r in rules])
-    pending = wanted if fresh else F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
-    blobs = blobs.withColumn("rules", pending).where(F.size("rules") > 0)
     none = F.array().cast(f"array<{SPAN}>")
+    texts, n, pending = versions.select("blob_id", "text"), None, None
+    # An empty ledger needs no join.
+    if fresh := known.isEmpty():
+        blobs = texts.dropDuplicates(["blob_id"]).withColumn("rules", wanted)
+    else:
+        seen = known.groupBy("blob_id").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
+        pending = versions.select("blob_id").distinct().join(seen, "blob_id", "left")
+        pending = pending.select("blob_id", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules")).where(F.size("rules") > 0)
+        pending = common.materialise(pending, "pending-blobs")
+        n = pending.count()
+        if not n:
+            return 0
+        bit = F.pmod(F.xxhash64("blob_id"), F.lit(1 << min(26, max(16, (16 * n).bit_length()))))
+        bits = pending.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("mask"))
+        near = texts.withColumn("bit", bit).withColumn("word", F.shiftright("bit", 6))
+        near = near.join(F.broadcast(bits), "word").where("shiftright(mask, int(bit & 63)) & 1 = 1")
+        blobs = near.select("blob_id", "text").dropDuplicates(["blob_id"]).join(pending, "blob_id")
     spans = F.concat(*[F.when(F.lit(fresh) | F.array_contains("rules", r.key), matches(F.col("text"), r)).otherwise(none) for r in rules])
     blobs.select("blob_id", "rules", spans.alias("spans")).write.mode("append").parquet(ledger)
+    if pending is not None:
+        common.discard(pending)
+    return n
 
 
 def findings(spark: SparkSession, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
@@ -148,13 +179,19 @@ def listed(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with each span replaced by its kind in brackets; overlapping spans become one."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    reached = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+    def whole(ends: Column) -> Column:
+        # A span's piece: from where the spans before it end, to its own start; none for one that begins inside them.
+        pieces = F.transform(spans, lambda s, i: F.struct(F.when(i > 0, F.get(ends, i - 1)).otherwise(0).alias("at"), s["start"].alias("start"), s["kind"].alias("kind")))
+
+        def block(part: Column, b: Column) -> Column:
+            first, last = F.get(part, F.lit(0))["at"], F.element_at(part, F.lit(-1))
+            own = F.substring(text, first + 1, F.greatest(last["start"], last["at"]) - first)
+            shown = lambda near: F.transform(part, lambda p: F.when(p["start"] >= p["at"], F.concat(F.substring(near, p["at"] - first + 1, p["start"] - p["at"]), F.lit("["), p["kind"], F.lit("]"))).otherwise(""))
+            return F.array_join(let(own, shown), "")
 
-    def step(state: Column, s: Column) -> Column:
-        inside = s["start"] < state["at"]
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        out = F.when(inside, state["out"]).otherwise(F.concat(state["out"], gap, F.lit("["), s["kind"], F.lit("]")))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
+        done = F.array_join(let(pieces, lambda p: blocked(p, block)), "")
+        return F.concat(done, F.substring(text, F.element_at(ends, -1) + 1, F.length(text)))
 
-    done = F.aggregate(spans, start, step, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, let(reached, whole)).otherwise(text)

@@ -7,12 +7,13 @@ on the features scaled by these ratios (Wang and Manning, 2012). Only the
 n-grams whose counts differ most between the classes take part.
 
 Training runs on a bounded sample of labelled rows: counts and features are
-made where the texts are, and the driver gets one count table a task and the
-ids of the chosen n-grams that each sampled document has.
+made where the texts are, and the driver gets one count table and the ids of
+the chosen n-grams that each sampled document has.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ BITS = 20
 SIGNIFICANT = 10.0
 #: Characters that are hashed at once; memory does not depend on the length of a text.
 CHUNK = 1 << 20
+#: Parts of the count tables that are added up apart.
+SLICES = 8
 
 
 def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -122,7 +125,7 @@ def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labe
     return w[:-1], float(w[-1])
 
 
-def train(labelled: DataFrame, max_rows: int = 8000, features: int = 4096, tasks: int = 8) -> Model:
+def train(labelled: DataFrame, max_rows: int = common.LABELLED_ROWS, features: int = 4096, tasks: int = 8) -> Model:
     """Fit on at most ``max_rows`` rows of ``labelled`` (text, label 0 or 1), those of smallest ``order``.
 
     ``labelled`` has been cut to the bound by the caller or is cut here by a
@@ -142,12 +145,25 @@ def train(labelled: DataFrame, max_rows: int = 8000, features: int = 4096, tasks
                 for c in (0, 1):
                     tables[c] += np.bincount(gram[own[owner] == c], minlength=1 << BITS).astype(np.int32)
                     seen[c] += int((own == c).sum())
-        yield pa.RecordBatch.from_pydict({"counts": [tables.tobytes()], "seen": [seen.tobytes()]})
+        parts = np.split(tables, SLICES, axis=1)
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "counts": [zlib.compress(p.tobytes(), 1) for p in parts], "seen": [seen.tobytes()] * SLICES})
 
-    tables, seen = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for row in sample.mapInArrow(count, "counts binary, seen binary").toLocalIterator():
-        tables += np.frombuffer(row["counts"], np.int32).reshape(2, -1)
-        seen += np.frombuffer(row["seen"], np.int32)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for b in batches:
+            for s, counts, seen in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                own = sums.setdefault(s, [0, 0])
+                own[0] += np.frombuffer(zlib.decompress(counts), np.int32)
+                own[1] += np.frombuffer(seen, np.int32)
+        if sums:
+            yield pa.RecordBatch.from_pydict({"slice": pa.array(list(sums), pa.int32()), "counts": [zlib.compress(c.tobytes(), 1) for c, _ in sums.values()], "seen": [n.tobytes() for _, n in sums.values()]})
+
+    # Tasks count side by side, and slices of their tables are added side by side.
+    schema, tables, seen = "slice int, counts binary, seen binary", np.zeros((2, SLICES, (1 << BITS) // SLICES), np.int64), np.zeros(2, np.int64)
+    for row in sample.mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema).collect():
+        tables[:, row["slice"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int32).reshape(2, -1)
+        seen = np.frombuffer(row["seen"], np.int32)
+    tables = tables.reshape(2, -1)
     if not seen.all():
         share = np.clip(seen[1] / max(seen.sum(), 1), 1e-9, 1 - 1e-9)
         return Model(np.full(1 << BITS, -1, np.int16), np.zeros(1), float(np.log(share / (1 - share))))
@@ -174,7 +190,12 @@ def train(labelled: DataFrame, max_rows: int = 8000, features: int = 4096, tasks
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """``docs`` (doc_id, text) with ``column``, the probability of label 1. Null and empty texts have no n-grams and score the bias."""
+    """``doc_id`` of each row of ``docs`` with ``column``, the probability of label 1.
+
+    Null and empty texts have no n-grams and score the bias. Null and repeated
+    doc_ids are rows like others, equal texts score alike, other columns are
+    ignored, an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.chosen, model.weights, model.bias))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,16 +207,14 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {column} double")
 
 
-def held_out(doc_id: Column, folds: int = 5) -> Column:
-    """Whether crc32 of the id as text is divisible by ``folds``; a null id is not."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
-
-
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = common.LABELLED_ROWS) -> DataFrame:
     """(text, label) of at most ``max_rows`` rows of ``labels`` outside the held-out fold, lowest hashes of doc_id first.
 
-    The sample of labels is bounded, so it is broadcast to the one scan of ``docs``.
+    The sample of labels is bounded, so it is broadcast to the one scan of
+    ``docs``. A document that repeats, or that has several labels, is there
+    once for each pair; so are ties. Labels without a document, a doc_id or a
+    value are left out; empty tables give none. Other columns are ignored.
     """
-    rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id")))
     rows = rows.select("doc_id", F.col(label).alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
     return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("text", "label")

@@ -38,16 +38,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(parts: Iterator[np.ndarray]) -> np.ndarray:
+    """The sorted distinct values of many arrays; memory follows their number."""
+    whole, held, waiting = np.zeros(0, np.uint64), [], 0
+    for part in parts:
+        held.append(np.unique(part))
+        waiting += len(held[-1])
+        if waiting > max(1 << 20, len(whole)):
+            whole, held, waiting = np.unique(np.concatenate([whole, *held])), [], 0
+    return np.unique(np.concatenate([whole, *held])) if held else whole
+
+
 class WordHasher:
     """Hashes of the words of a run of texts; keeps its power tables between calls."""
 
-    def __init__(self, lower_ascii: bool = True, seed: int = 7):
+    def __init__(self, lower_ascii: bool = True, seed: int = 7, breaks: bytes = b" \t\n\x0b\x0c\r"):
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
         if lower_ascii:
             self.values[65:91] = self.values[97:123]
         self.is_space = np.zeros(256, bool)
-        self.is_space[[32, 9, 10, 11, 12, 13]] = True
+        self.is_space[list(breaks)] = True
         self.base = int(rng.integers(1 << 40, 1 << 62)) | 1
         self.power = self.inverse = np.ones(1, np.uint64)
 
@@ -117,16 +128,17 @@ class WordHasher:
 
     def _long_text(self, text: bytes, k: int) -> np.ndarray:
         """The sorted distinct shingles of one text of any length; memory follows their number."""
-        whole, held, waiting, last = np.zeros(0, np.uint64), [], 0, np.zeros(0, np.uint64)
-        for word in self.stream(text):
-            last = np.concatenate((last, word))
-            if len(last) >= k:
-                held.append(np.unique(mix(self._runs(last, k))))
-                waiting += len(held[-1])
-                last = last[len(last) - k + 1 :]
-                if waiting > max(1 << 20, len(whole)):
-                    whole, held, waiting = np.unique(np.concatenate([whole, *held])), [], 0
-        whole = np.unique(np.concatenate([whole, *held])) if held else whole
+        last = np.zeros(0, np.uint64)
+
+        def runs() -> Iterator[np.ndarray]:
+            nonlocal last
+            for word in self.stream(text):
+                last = np.concatenate((last, word))
+                if len(last) >= k:
+                    yield mix(self._runs(last, k))
+                    last = last[len(last) - k + 1 :]
+
+        whole = distinct(runs())
         return whole if len(whole) or not len(last) else np.array([self._short(last)], np.uint64)
 
     def shingles(self, texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
