@@ -1,8 +1,8 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, queries
+from tidewell.llm import common, mixing
 
 
 def levels(sizes, weights=(5, 2, 1), cap=3):
@@ -36,14 +36,53 @@ def check(rows):
     return by
 
 
-def test_query_meets_targets_and_repeats(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = mixing.mix(docs).collect()
+def drawn(rows, weights=(5, 2, 1), cap=3):
+    """The draw by the definition, for rows of (doc_id, source, size, random part, key): copies by doc_id."""
+    sizes = Counter()
+    for _, source, size, *_ in rows:
+        sizes[source] += size
+    target, out = levels(sizes, weights, cap), {}
+    for source, total in sizes.items():
+        own = [r for r in rows if r[1] == source]
+        whole = min(cap, int(target[source] / total + 1e-9)) if total else 0
+        rest = target[source] - whole * total if total and whole < cap else 0
+        out |= {r[0]: whole if r[2] else 0 for r in own}
+        if rest <= 0:
+            continue
+        low, high = 0.0, 1.0
+        for _ in range(200):
+            factor = (low + high) / 2
+            low, high = (factor, high) if sum(r[2] * min(1, factor * r[2]) for r in own) < rest else (low, factor)
+        p = lambda r, factor=low: min(1.0, factor * r[2])
+        rank = lambda r: 0.0 if p(r) > 1 - 1e-9 else (r[3] / (1 - r[3])) / (p(r) / (1 - p(r)))
+        order = sorted((r for r in own if r[2]), key=lambda r: (rank(r), r[4]))
+        words = at = 0
+        while at < len(order) and words + order[at][2] <= rest:
+            words += order[at][2]
+            out[order[at][0]] += 1
+            at += 1
+        gap, first = rest - words, {}
+        for r in sorted(order[at:], key=lambda r: r[4]):
+            first.setdefault(r[2], r)
+        for _ in range(mixing.FILL):
+            fits = [r for s, r in first.items() if abs(gap - s) < gap]
+            if fits:
+                best = min(fits, key=lambda r: (abs(gap - r[2]), r[2]))
+                out[best[0]] += 1
+                gap -= best[2]
+                del first[best[2]]
+    return out
+
+
+def test_draw_equals_its_definition_however_rows_are_split(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    seen = docs.select("doc_id", "source", common.n_words(F.col("text")), mixing.random_part(9), F.xxhash64(F.lit(10), "doc_id", "text"))
+    want = drawn([tuple(r) for r in seen.collect()])
+    for parts in (1, 7, 32):
+        rows = mixing.mix(docs.repartition(parts)).collect()
+        assert {r["doc_id"]: r["copies"] for r in rows} == want
     for (target, _), own in check(rows).items():
-        # Documents are taken whole, so half of the largest may be missing or too much.
-        assert abs(sum(r["taken"] for r in own) - target) <= max(r["size"] for r in own) / 2 + 1
-    key = lambda rs: sorted((r["doc_id"], r["taken"]) for r in rs)
-    assert key(rows) == key(queries.op9_mixing(spark, sf_dir).collect())
+        assert abs(sum(r["taken"] for r in own) - target) <= max(50, 0.01 * target)
 
 
 def test_larger_documents_are_likelier(spark):
