@@ -88,3 +88,9 @@ def test_bins_of_any_lengths(lengths):
 @pytest.mark.parametrize("tokens", [1, 2047, 2048, 2049, 4096])
 def test_boundaries(tokens):
     assert sum(n for n, _ in packing.cuts(tokens, 2048)) == tokens
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), (None, "three"), ("a", None)], "doc_id string, text string")
+    rows = packing.pack(docs, JSON).collect()
+    assert {r["doc_id"] for r in rows} == {"a", None} and sum(r["length"] for r in rows) == sum({(r["doc_id"], r["doc_tokens"]): r["doc_tokens"] for r in rows}.values())

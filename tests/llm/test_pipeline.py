@@ -43,12 +43,25 @@ def test_stages_on_real_documents(spark, sf_dir):
 def test_rows_without_or_with_shared_ids(spark, edges, sf_dir):
     kept = cp.drop_near_duplicates(spark, edges, sf_dir).collect()
     assert Counter(r["text"] for r in kept)["one two three four five six seven"] == 1 and len(kept) == 7
+    assert [r["doc_id"] for r in kept if r["text"] == "one two three four five six seven"] == [1]
+    rows = [(5, "a b c d e f"), (None, "a b c d e f"), (6, "a b c d e f"), (6, "g h")]
+    kept = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted(map(tuple, kept)) == [(5, "a b c d e f"), (6, "g h")]
 
 
 def test_edges_pass_through(spark, edges, nothing, sf_dir):
-    for docs in (edges, nothing):
-        for _, stage in cp.STAGES:
-            docs = written(stage(spark, docs, sf_dir))
+    empty = written(nothing.withColumn("extra", F.lit(1)))
+    docs = written(edges.withColumn("extra", F.lit(1)))
+    for name, stage in cp.STAGES:
+        before, docs, empty = docs, written(stage(spark, docs, sf_dir)), written(stage(spark, empty, sf_dir))
+        assert empty.count() == 0, name
+        if name != "packing":
+            assert docs.columns == before.columns, name
+        if name == "secret_scans":
+            assert sorted(map(repr, docs.collect())) == sorted(map(repr, before.collect()))
+        if name == "mixing":
+            assert all((r["text"] or "").split() for r in docs.collect())
+    assert docs.where("length = 0").count() == 0
 
 
 def test_names():

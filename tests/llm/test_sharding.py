@@ -1,3 +1,4 @@
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -40,3 +41,31 @@ def test_query_repeats_and_empty_table(spark, sf_dir, nothing):
     key = lambda: sorted(map(tuple, queries.op2_sharding(spark, sf_dir).collect()))
     assert key() == key()
     assert sharding.slots(sharding.shard(nothing)).count() == 0
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    """Sizes, checksums, shards by the largest hash, and slots by a shuffle of each shard, all made one row at a time."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    ranks = F.array(*[F.xxhash64(F.col("doc_id").cast("string"), F.lit(20), F.lit(s)) for s in range(17)])
+    rows = [(r["doc_id"], (r["text"] or "").encode(), r["ranks"], r["key"]) for r in docs.select("*", ranks.alias("ranks"), F.xxhash64("doc_id", "text").alias("key")).collect()]
+    want, shards = {}, {}
+    for doc, text, rank, key in rows:
+        shard, grown = max(range(16), key=lambda s: rank[s]), max(range(17), key=lambda s: rank[s])
+        want[doc] = [len(text) + 1, zlib.crc32(text), "key", shard, None, grown]
+        shards.setdefault(shard, []).append((key, doc))
+    for shard, own in shards.items():
+        # Small shards are one bucket each.
+        own = [d for _, d in sorted(own)]
+        for slot, at in enumerate(sharding.fisher_yates(len(own), [20, shard])):
+            want[own[at]][4] = slot
+    found = queries.op2_sharding(spark, sf_dir).collect()
+    assert {r["doc_id"]: [r[c] for c in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")] for r in found} == want
+
+
+def test_columns_of_clashing_names_and_texts_beyond_a_bucket(spark):
+    docs = spark.createDataFrame([(i, "word " * (5000 if i == 3 else 5)) for i in range(20)], "doc_id long, text string")
+    for name in (*sharding.MADE, "_order"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    rows = sharding.slots(sharding.shard(docs, shards=2, bucket_bytes=100)).collect()
+    assert len(rows) == 20 and all(sorted(s) == list(range(len(s))) for s in slots_of(rows).values())
+    assert len({r["bucket"] for r in rows}) > 2

@@ -23,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Classes from here on are not cut to their boundary.
 FINE_CLASS = 16
 #: Fixed value: how byte_bpe_50k.json splits a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, class int"
+SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, class int"
 
 
 def encoder(path: str, ranks: str | None = None):
@@ -128,8 +129,8 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int
     One row a piece: where it lies in its document (``start``) and in its
     sequence (``offset``), its crc32 over little-endian 32-bit ids and, with
     ``with_ids``, the ids. ``class`` is the harmonic class, 0 for a task's last
-    bins. A null or empty text is the end id alone. Null or repeated doc_ids
-    stay separate documents. Other columns are ignored. An empty table gives no
+    bins. A null or empty text is the end id alone. doc_ids may be of any
+    type; null or repeated ones stay separate documents. Other columns are ignored. An empty table gives no
     rows. A task holds one batch of texts and at most one unfilled bin a class.
     """
 
@@ -137,10 +138,10 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int
         encode, end = encoder(tokenizer, ranks), np.asarray([end_id], "<u4").tobytes()
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "class"]
-        types = [pa.int64()] * 7 + [pa.int32()]
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             columns = [[r[0] for r in rows], [r[1] for r in rows], [len(r[2]) // 4 for r in rows], [zlib.crc32(r[2]) for r in rows], [r[3] for r in rows], [r[4] for r in rows], [r[5] for r in rows], [r[6] for r in rows]]
+            types = [kind, *[pa.int64()] * 6, pa.int32()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             ids = [pa.array([np.frombuffer(r[2], "<u4").astype(np.int32) for r in rows], pa.list_(pa.int32()))] if with_ids else []
             return pa.RecordBatch.from_arrays(arrays + ids, names + ["ids"] * with_ids)
@@ -157,4 +158,6 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int
                     rows, held = [], 0
         yield batch(rows + packer.finish())
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(work, SCHEMA + (", ids array<int>" if with_ids else ""))
+    rows = docs.select("doc_id", docs["text"].cast("string"))
+    kind = to_arrow_type(rows.schema["doc_id"].dataType)
+    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCHEMA}" + (", ids array<int>" if with_ids else ""))

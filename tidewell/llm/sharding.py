@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 from tidewell.llm import common
 
 BUCKET_BYTES = 32 << 20
+MADE = ("size", "shard", "grown_shard", "bucket", "place", "slot")
 
 
 def rendezvous(key: Column, shards: int, seed: int) -> Column:
@@ -44,10 +45,14 @@ def shuffle(docs: DataFrame, shards: int, path: str, seed: int = 20, bucket_byte
     Adds ``size`` (UTF-8 bytes of text, null: none, plus 1), ``shard``,
     ``grown_shard`` (with one more shard), ``bucket`` and ``place`` in the
     bucket. Rows with one doc_id share a shard; equal texts do not. Repeated
-    rows are all kept. An empty table writes no rows. The number of buckets
-    follows the bytes of the table, so a bucket's memory does not grow; only
-    rows that agree in doc_id and text must share a bucket.
+    rows are all kept. Null doc_ids are one key. Columns of the names made here,
+    and ``_order``, are replaced or dropped. An empty table writes no rows. The
+    number of buckets follows the bytes of the table, so a bucket's memory does
+    not grow; only rows that agree in doc_id and text must share a bucket, and
+    a text larger than a bucket is held whole with what else falls into its
+    own.
     """
+    docs = docs.drop(*MADE, "_order")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     total = docs.agg(F.sum(size)).first()[0] or 0
     per_shard = max(1, -(-total // (shards * bucket_bytes)))

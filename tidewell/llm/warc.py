@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.store import qualified
+
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads of fewer bytes are never revisits.
 REVISIT_BYTES = 1000
@@ -92,9 +94,13 @@ def write(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
     that ended well and is itself a table in ``folder``, so what a lost or
     repeated attempt left is never read. Null html is an empty payload; a row
     without page_id is written with a name made from its digest. Repeated rows
-    are written each. An empty table gives no archives.
+    are written each; those of the largest page_id of a payload are all
+    responses. Other columns than page_id, url and html are ignored. ``folder``
+    is resolved as Spark does, so archives and their list lie in one store. An empty table gives no archives.
     """
 
+    folder = qualified(pages.sparkSession, folder)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, out, written, records = TaskContext.get(), None, 0, 0
         path = f"{folder}/archives/part-{context.partitionId():06d}-{context.taskAttemptId()}.warc.gz"
@@ -151,21 +157,25 @@ class Blocks:
 
 def member(blocks: Blocks, offset: int) -> tuple[bytes, int] | None:
     """(content, end) of the gzip member at ``offset``, if it decodes whole and begins like a WARC record."""
-    gzip, parts, at, seen = zlib.decompressobj(31), [], offset, False
+    gzip, content, at, waiting = zlib.decompressobj(31), bytearray(), offset, b""
     try:
         while not gzip.eof:
-            data = blocks.at(at)
-            if not data:
+            if not waiting:
+                waiting = blocks.at(at)
+                at += len(waiting)
+            if not waiting and not (rest := gzip.decompress(b"", READ)):
+                return None
+            if not waiting:
+                content += rest
+                continue
+            # A little at first, so that what is no record is not inflated.
+            content += gzip.decompress(waiting, READ if content else 64)
+            waiting = gzip.unconsumed_tail
+            if len(content) >= 5 and not content.startswith(b"WARC/"):
                 return None
-            parts.append(gzip.decompress(data))
-            at += len(data)
-            if not seen and sum(map(len, parts)) >= 5:
-                if not b"".join(parts).startswith(b"WARC/"):
-                    return None
-                seen = True
     except zlib.error:
         return None
-    return (b"".join(parts), at - len(gzip.unused_data)) if seen else None
+    return (bytes(content), at - len(gzip.unused_data)) if len(content) >= 5 else None
 
 
 def next_magic(blocks: Blocks, at: int, end: int) -> int | None:
