@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept. All but the last return the columns of ``documents``.
+
+In every stage a null text is an empty one, a null doc_id, source or language
+is a value like others, repeated rows are rows of their own, and an empty table
+gives an empty one. Columns that ``documents`` does not have are passed on, but
+for the names that the mixing stage documents as its own.
 """
 
 from __future__ import annotations
@@ -11,37 +16,41 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import common, jaccard_join, mixing, packing, quality_classifier, secrets
 
-#: Labelled rows that the classifier is fitted on at most.
-LABELLED_ROWS = 8000
 #: Near duplicates share 80 of 100 of their distinct five-word shingles.
 SHINGLE_WORDS, SIMILAR = 5, (80, 100)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that are likelier of grade 0 than of a better one."""
+    """Drop documents that are likelier of grade 0 than of a better one.
+
+    Empty texts are judged by what the classifier learned of such. Equal texts
+    share their fate.
+    """
     labels = common.table(spark, sf_dir, "labels")
-    model = quality_classifier.train(quality_classifier.graded(docs, labels, LABELLED_ROWS), levels=3, max_rows=LABELLED_ROWS)
+    model = quality_classifier.train(quality_classifier.graded(docs, labels), levels=3)
     return quality_classifier.rate(docs, model).where("p_tail >= 0.5").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of near duplicates the document of the smallest doc_id.
 
-    Where doc_ids are null or repeat, rows are told apart by a row number that
-    is written with them.
+    Documents without words are no duplicates and all stay. Where doc_ids are
+    null or repeat, rows are told apart by a row number that is written with
+    them; a null doc_id is larger than all others, and of rows with one doc_id
+    any one stays.
     """
     repeats = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count()
     if not repeats:
         groups = jaccard_join.join(docs.select("doc_id", "text"), SHINGLE_WORDS, *SIMILAR)
         return docs.join(groups.where("doc_id != component_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     rows = common.materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    keyed = rows.select(F.struct("doc_id", "_row").alias("doc_id"), "text")
+    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("doc_id"), "text")
     groups = jaccard_join.join(keyed, SHINGLE_WORDS, *SIMILAR)
     return rows.join(groups.where("doc_id != component_id").select("doc_id._row"), "_row", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace every secret in every text by its kind in brackets; no document goes."""
+    """Replace every secret in every text by its kind in brackets; no document goes, and a null text stays null."""
     scanned = secrets.scan(docs, common.scratch(spark, "blob-ledger"))
     redacted = scanned.withColumn("_redacted", secrets.redact(F.col("text"), F.col("secret_spans")))
     made = {"text": F.col("_redacted")}
@@ -51,13 +60,17 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents so that each source's words meet its target; a document taken n times is n rows."""
+    """Repeat or drop documents so that each source's words meet its target; a document taken n times is n rows.
+
+    Documents without words are never taken. Rows that agree in doc_id and text
+    are drawn one by one.
+    """
     mixed = mixing.mix(docs, keep=True).where("copies > 0")
     return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
+    """The pieces of all documents in sequences of at most 2048 tokens; each row is a document of its own."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
