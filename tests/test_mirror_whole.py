@@ -10,7 +10,7 @@ from test_mirror import Log, live, run, source
 
 from tidewell import model
 from tidewell.operators import load, merge
-from tidewell.plans import mirror
+from tidewell.plans import mirror, planner
 from tidewell.sources import pgoutput as pg
 from tidewell.sources.tables import Replica
 from tidewell.streaming import drain
@@ -138,3 +138,64 @@ def test_a_change_without_description_stops_the_drain(spark, tmp_path):
         drained(spark, tmp_path, log, 20)
     assert live(spark, tmp_path, "notes", ["id"]) == [(1, 1, "one")]
     assert drained(spark, tmp_path, log, 20, 2, 10) == [(1, 1, "one")]
+
+
+def test_runs_go_on_where_the_last_one_ended(spark, tmp_path):
+    """The second run gets a log without what the first one has confirmed, relations included, and keeps the first one's rows."""
+    source(spark, tmp_path, "notes", [(1, 1, "one"), (2, 2, "two")], "id int, rank int, body string")
+    cfg = run({"notes": ["id"]}, tmp_path)
+    turned = model.Relation(31, "public", "notes", (NOTES.fields[2], NOTES.fields[0], NOTES.fields[1]))
+    log = Log()
+    log.transaction(10, pg.encode_relation(turned), change("U", ["uno", 1, 10]))
+    first = mirror.mirror(spark, cfg, {"notes": NOTES}, log.write(spark, tmp_path / "log1"))
+    assert (first["batch"], first["slot"]["exists"], first["applied"]) == (1, False, {"notes": 1})
+    trimmed = Log()
+    trimmed.at = 10
+    trimmed.rows = [None] * len(log.rows)
+    trimmed.transaction(20, change("U", ["u", 1, 11]), change("I", ["three", 3, 3]))
+    trimmed.rows = [r for r in trimmed.rows if r]
+    path = trimmed.write(spark, tmp_path / "log2")
+    second = mirror.mirror(spark, cfg, {"notes": NOTES}, path)
+    want = [(1, 11, "uno"), (2, 2, "two"), (3, 3, "three")]
+    assert live(spark, tmp_path, "notes", ["id"]) == want
+    assert second["batch"] == 2 and second["slot"] == {"exists": True, "confirmed": "0/A", "lag": "10 bytes"}
+    again = mirror.mirror(spark, cfg, {"notes": NOTES}, path)
+    assert again["applied"] == {} and live(spark, tmp_path, "notes", ["id"]) == want
+
+
+def test_a_run_reports_what_it_leaves_out(spark, tmp_path):
+    loaded(spark, tmp_path, [(1, 1, "one")])
+    other = model.Relation(40, "public", "other", (model.Field("id", 23, True),))
+    log = Log()
+    log.transaction(10, pg.encode_relation(other), pg.encode_relation(model.Relation(31, "public", "notes", NOTES.fields, "n")), change("I", [5], rel=40), change("I", [2, 2, "two"]))
+    log.transaction(20, pg.encode_relation(model.Relation(99, "public", "notes", NOTES.fields)), change("I", [3, 3, "of a later table"], rel=99), b"T" + struct.pack(">IBI", 1, 0, 31))
+    log.transaction(30, change("U", [9, 2, "two"], [2, None, None]), change("D", old=[1, None, None]))
+    report = {}
+    drain.drain(spark, log.write(spark, tmp_path / "log"), Replica(spark, f"{tmp_path}/dst"), {"notes": NOTES}, 30, 1, report=report)
+    assert live(spark, tmp_path, "notes", ["id"]) == [(9, 2, "two")]
+    assert report["skipped"] == [{"namespace": "public", "name": "other", "changes": 1}]
+    assert report["stale"] == [{"namespace": "public", "name": "notes", "rel_id": 99, "changes": 1}]
+    assert report["lost"] == ["notes"] and report["truncated"] == [{"rel_id": 31, "times": 1}] and report["mismatched"] == []
+    assert report["changes"] == [{"table": "notes", "inserts": 1, "updates": 1, "deletes": 2, "applied": 4}]
+
+
+def test_tables_that_are_added_again_are_loaded_again(spark, tmp_path):
+    source(spark, tmp_path, "notes", [(1, 1, "one")], "id int, rank int, body string")
+    source(spark, tmp_path, "more", [(1,)], "id int")
+    more = model.Relation(32, "public", "more", (model.Field("id", 23, True),))
+    both, one = run({"notes": ["id"], "more": ["id"]}, tmp_path), run({"more": ["id"]}, tmp_path)
+    log = Log()
+    log.transaction(10)
+    path = log.write(spark, tmp_path / "log")
+    relations = {"notes": NOTES, "more": more}
+    assert mirror.mirror(spark, both, relations, path)["actions"] == {"more": "CREATE + LOAD", "notes": "CREATE + LOAD"}
+    assert mirror.mirror(spark, one, {"more": more}, path)["actions"] == {"more": "CDC"}
+    source(spark, tmp_path, "notes", [(1, 1, "one"), (2, 2, "missed meanwhile")], "id int, rank int, body string")
+    assert mirror.mirror(spark, both, relations, path)["actions"]["notes"] == "RELOAD (re-added)"
+    assert live(spark, tmp_path, "notes", ["id"]) == [(1, 1, "one"), (2, 2, "missed meanwhile")]
+
+
+def test_an_empty_replica_is_loaded_if_the_source_has_rows(spark):
+    rows = [("a", True, False, -1, None, 0, False, True), ("b", True, False, -1, None, 0, False, False)]
+    stats = spark.createDataFrame(rows, "table string, table_exists boolean, has_rows boolean, est_rows long, max_commit_lsn long, raw_rows long, readded boolean, source_has_rows boolean")
+    assert [r["action"] for r in planner.plan(stats).orderBy("table").collect()] == ["LOAD", "SKIP (empty)"]

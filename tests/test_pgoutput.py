@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewell import model
 from tidewell.sources import pgoutput as pg
@@ -44,13 +45,33 @@ def test_numeric(raw, expected):
         (25, "ff", "�"),
     ],
 )
-def test_binary_values(oid, raw, expected):
+def test_binary_values(spark, oid, raw, expected):
+    cells = spark.createDataFrame([([("b", bytearray.fromhex(raw)), ("n", None), ("u", None)],)], f"cells array<{pg.CELL}>")
+    fields = tuple(model.Field(n, oid) for n in "abc")
+    got = cells.select(pg.typed_rows(pg.text_cells(F.col("cells"), fields), fields).alias("r")).first()["r"]
+    want = expected.astimezone().replace(tzinfo=None) if isinstance(expected, datetime) and expected.tzinfo else expected
+    assert tuple(got) == (want, None, None)
+
+
+@pytest.mark.parametrize("oid, raw, expected", [(701, "3ff8000000000000", 1.5), (701, "3f", 0), (700, "3fc00000", 1.5), (1700, "0002000000000002000c1388", Decimal("12.50")), (1700, "00", Decimal(0))])
+def test_binary_values_in_python(oid, raw, expected):
     assert pg.value("b", bytes.fromhex(raw), oid) == expected
 
 
-def test_null_and_unchanged_have_no_value():
-    assert pg.value("n", None, 23) is None
-    assert pg.value("u", None, 25) is None
+@given(st.lists(st.tuples(st.sampled_from("IUD"), st.booleans(), st.lists(st.sampled_from([None, "u", "text", ("b", b"\x00")]), max_size=4), st.integers(0, 40)), max_size=12))
+def test_a_malformed_message_leaves_its_neighbours_whole(messages):
+    """Some messages are cut short; the flat columns hold the others as they are parsed alone."""
+    old, new, want = pg.Rows(), pg.Rows(), []
+    for kind, keyed, cells, cut in messages:
+        data = pg.encode_change(kind, 7, None if kind == "D" else cells, cells[::-1] if kind == "D" or (keyed and kind == "U") else None)
+        data = data[: len(data) - cut // 10] if cut >= 30 else data
+        try:
+            alone = pg.decode(data)
+            pg.change_parts(kind, data, old, new)
+            want.append((alone["old"], alone["new"]))
+        except pg.Malformed:
+            pass
+    assert list(zip(old.array().to_pylist(), new.array().to_pylist(), strict=True)) == want
 
 
 @given(st.binary(max_size=80))

@@ -35,6 +35,12 @@ def size_pretty(size: Column) -> Column:
     return out
 
 
+def size_text(size: int) -> str:
+    """:func:`size_pretty` of a number on the driver."""
+    power = next((p for p in (4, 3, 2, 1) if abs(size) >= 10240 * 1024 ** (p - 1)), 0)
+    return f"{size} bytes" if not power else f"{int(size / 1024**power + 0.5)} {('kB', 'MB', 'GB', 'TB')[power - 1]}"
+
+
 def timestamptz_to_utc(text: Column) -> Column:
     """A time with offset as UTC with six decimals and no offset; other text stays as it is. The session's zone must be UTC."""
     form = F.regexp_like(text, F.lit(r"^\d{4,}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d+)?[+-]\d\d(:?\d\d)?$"))

@@ -30,3 +30,19 @@ def format(position: int) -> str:
 def gap_gb(ahead: Column, behind: Column) -> Column:
     """Distance of two positions in GiB, at least 0."""
     return F.greatest(ahead - behind, F.lit(0)) / F.lit(float(1 << 30))
+
+
+def furthest(*positions: Column) -> Column:
+    """The largest of positions that may be null or 0; null if all are."""
+    return F.greatest(*[F.nullif(p, F.lit(0)) for p in positions])
+
+
+def cdc_percent(reached: Column, confirmed: Column, target: Column) -> Column:
+    """How much of the way from the confirmed position to the target is done, 0 to 100."""
+    moving = (target > confirmed) & (reached > confirmed)
+    return F.when(moving, F.least((reached - confirmed) / (target - confirmed) * 100, F.lit(100.0))).otherwise(F.lit(0.0))
+
+
+def cdc_bottleneck(processed: Column, sent: Column, reached: Column, messages: Column) -> Column:
+    """What a drain waits for: rows that were sent and are being applied, the sender's decoding, or nothing."""
+    return F.when((F.coalesce(sent, F.lit(0)) > processed) & (messages > 0), "flushing").when(reached > processed, "decoding").otherwise("")

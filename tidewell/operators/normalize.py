@@ -61,3 +61,8 @@ def counters(changes: DataFrame, by: str = "table") -> DataFrame:
         F.count_if((F.col("op") == "D") | rekeyed).alias("deletes"),
         (F.count("*") + F.count_if(rekeyed)).alias("applied"),
     )
+
+
+def summary(counted: DataFrame) -> DataFrame:
+    """The tables of :func:`counters` that have rows to apply, by name."""
+    return counted.where(F.col("table").isNotNull() & (F.col("applied") > 0)).orderBy("table")

@@ -412,7 +412,7 @@ def decode_binary_roundtrip(spark, sf_dir):
     cell = lambda n, width: F.concat(F.lit(b"b" + width.to_bytes(4, "big")), fixed(n, width))
     payload = F.concat(F.lit(b"I" + (5).to_bytes(4, "big") + b"N" + b"\0\3"), cell(F.col("o_orderkey"), 8), cell(F.col("o_custkey").cast("long"), 4), cell(micros, 8))
     frames = rows.select(F.col("o_orderkey").alias("arrival_seq"), F.col("o_orderkey").alias("lsn_start"), payload.alias("payload"))
-    return pgoutput.binary_rows(pgoutput.decode_frames(frames), "new", fields).select("new.*")
+    return pgoutput.decode_frames(frames).select(pgoutput.typed_rows(F.col("new"), fields).alias("r")).select("r.*")
 
 
 @query(f"SELECT user_id, event_id, event_type, value FROM ({LAST_EVENT}) WHERE is_deleted = 0")

@@ -18,14 +18,16 @@ def plan(stats: DataFrame) -> DataFrame:
     """``stats`` with reload_reason, action, load and the two columns of the status report.
 
     ``stats`` has table, table_exists, has_rows, est_rows (negative: unknown),
-    max_commit_lsn (0: no change was ever applied), raw_rows and readded.
+    max_commit_lsn (0: no change was ever applied), raw_rows and readded, and
+    may have source_has_rows for tables whose estimate is not known.
     """
     reload = (
         F.when(F.col("has_rows") & F.col("readded"), "re-added")
         .when(F.col("has_rows") & (F.col("max_commit_lsn") == 0) & too_few(F.col("raw_rows"), F.col("est_rows")), "incomplete load")
     )
     reason, empty = F.col("reload_reason"), ~F.col("has_rows")
-    wanted = empty & (F.col("est_rows") > 0)
+    known = F.col("est_rows") > 0
+    wanted = empty & ((known | F.col("source_has_rows")) if "source_has_rows" in stats.columns else known)
     action = (
         F.when(reason.isNotNull(), F.concat(F.lit("RELOAD ("), reason, F.lit(")")))
         .when(~F.col("table_exists"), "CREATE + LOAD")

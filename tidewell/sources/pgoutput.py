@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from datetime import date, datetime, timedelta, timezone
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal, InvalidOperation
 
 import pyarrow as pa
@@ -76,19 +76,6 @@ class Cursor:
         self.at = end + 1
         return found
 
-    def mark(self, allowed: str) -> str:
-        found = chr(self.take("B"))
-        if found not in allowed:
-            raise Malformed(f"mark {found!r} is none of {allowed}")
-        return found
-
-    def row(self) -> list[dict]:
-        cells = []
-        for _ in range(self.take("H")):
-            tag = self.mark("nutb")
-            cells.append({"tag": tag, "data": self.bytes(self.take("i")) if tag in "tb" else None})
-        return cells
-
 
 def decode(payload: bytes) -> dict | None:
     """The fields of a message; None for kinds that carry no change (origin, type and unknown ones)."""
@@ -102,19 +89,10 @@ def decode(payload: bytes) -> dict | None:
             flags = c.take("B")
             fields.append({"name": c.text(), "oid": c.take("I"), "key": bool(flags & 1), "modifier": c.take("i")})
         return {"kind": kind, **found, "fields": fields}
-    if kind == "I":
-        rel_id = c.take("I")
-        c.mark("N")
-        return {"kind": kind, "rel_id": rel_id, "new": c.row()}
-    if kind == "U":
-        found = {"kind": kind, "rel_id": c.take("I")}
-        mark = c.mark("KON")
-        if mark != "N":
-            found |= {"key_kind": mark, "old": c.row()}
-            c.mark("N")
-        return found | {"new": c.row()}
-    if kind == "D":
-        return {"kind": kind, "rel_id": c.take("I"), "key_kind": c.mark("KO"), "old": c.row()}
+    if kind in "IUD":
+        old, new = Rows(), Rows()
+        rel_id, key_kind = change_parts(kind, payload, old, new)
+        return {"kind": kind, "rel_id": rel_id, "key_kind": key_kind, "old": old.array()[0].as_py(), "new": new.array()[0].as_py()}
     if kind == "B":
         lsn, at, xid = c.take("Q"), c.take("q"), c.take("I")
         return {"kind": kind, "final_lsn": lsn, "committed_at": EPOCH + timedelta(microseconds=at), "xid": xid}
@@ -147,26 +125,137 @@ def status_update(position: int, micros: int) -> bytes:
     return struct.pack(">cQQQqB", b"r", position, position, position, micros, 0)
 
 
-def decode_frames(frames: DataFrame) -> DataFrame:
-    """Messages of ``frames`` (arrival_seq, lsn_start, payload); the only Python step of the engine."""
-    cell = pa.list_(pa.struct([("tag", pa.string()), ("data", pa.binary())]))
+class Rows:
+    """A list column of cells, built flat: tags and data of all cells and where each row ends."""
+
+    def __init__(self):
+        self.tags, self.data, self.ends, self.valid = [], [], [0], []
+
+    def none(self) -> None:
+        self.ends.append(len(self.tags))
+        self.valid.append(False)
+
+    def add(self, message: bytes, at: int) -> int:
+        """Parse the row at ``at`` and return where it ends; leaves nothing behind if it is malformed."""
+        tags, data, size = self.tags, self.data, len(message)
+        start = len(tags)
+        try:
+            if at + 2 > size:
+                raise Malformed("message ends early")
+            cells = message[at] << 8 | message[at + 1]
+            at += 2
+            for _ in range(cells):
+                if at >= size:
+                    raise Malformed("message ends early")
+                tag = TAGS.get(message[at])
+                if tag is None:
+                    raise Malformed(f"mark {chr(message[at])!r} is none of nutb")
+                at += 1
+                value = None
+                if tag in "tb":
+                    if at + 4 > size:
+                        raise Malformed("message ends early")
+                    end = at + 4 + int.from_bytes(message[at : at + 4], "big", signed=True)
+                    if not at + 4 <= end <= size:
+                        raise Malformed("value ends early")
+                    value = message[at + 4 : end]
+                    at = end
+                tags.append(tag)
+                data.append(value)
+        except Malformed:
+            del tags[start:], data[start:]
+            raise
+        self.ends.append(len(tags))
+        self.valid.append(True)
+        return at
+
+    def array(self) -> pa.Array:
+        cells = pa.StructArray.from_arrays([pa.array(self.tags, pa.string()), pa.array(self.data, pa.binary())], ["tag", "data"])
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), cells, mask=pa.array([not v for v in self.valid], pa.bool_()))
+
+
+TAGS = {ord(c): c for c in "nutb"}
+#: Messages whose cells are held at once.
+AT_ONCE = 4096
+
+
+def change_parts(kind: str, payload: bytes, old: Rows, new: Rows) -> tuple[int, str | None]:
+    """(relation id, key kind) of a row change whose rows are added to ``old`` and ``new``."""
+    if len(payload) < 6:
+        raise Malformed("message ends early")
+    rel_id, mark, at = int.from_bytes(payload[1:5], "big"), chr(payload[5]), 6
+    if mark not in {"I": "N", "U": "KON", "D": "KO"}[kind]:
+        raise Malformed(f"mark {mark!r} does not begin a row of {kind}")
+    before = len(old.valid), len(old.tags)
+    try:
+        if mark == "N":
+            old.none()
+        else:
+            at = old.add(payload, at)
+        if kind == "D":
+            new.none()
+        else:
+            if mark != "N":
+                if payload[at : at + 1] != b"N":
+                    raise Malformed("mark of the new row is missing")
+                at += 1
+            new.add(payload, at)
+    except Malformed:
+        if len(old.valid) > before[0]:
+            del old.valid[before[0] :], old.ends[before[0] + 1 :], old.tags[before[1] :], old.data[before[1] :]
+        raise
+    return rel_id, None if mark == "N" else mark
+
+
+def decode_frames(frames: DataFrame, spread: bool = True) -> DataFrame:
+    """Messages of ``frames`` (arrival_seq, lsn_start, payload); the only Python step of the engine.
+
+    Rows of changes are parsed into flat columns, the rarer kinds one by one.
+    With ``spread`` a log of fewer partitions than there are cores is dealt
+    over all of them, since decoding is bound by the CPU.
+    """
     field = pa.list_(pa.struct([("name", pa.string()), ("oid", pa.int64()), ("key", pa.bool_()), ("modifier", pa.int32())]))
+    cell = pa.list_(pa.struct([("tag", pa.string()), ("data", pa.binary())]))
     arrow = {"bigint": pa.int64(), "string": pa.string(), f"array<{FIELD}>": field, f"array<{CELL}>": cell, "timestamp": pa.timestamp("us", "UTC"), "array<bigint>": pa.list_(pa.int64())}
     schema = pa.schema([(name, arrow[kind]) for name, kind in MESSAGE.items()])
+    plain = [name for name in MESSAGE if name not in ("old", "new")]
+
+    def batch(part: pa.RecordBatch) -> pa.RecordBatch:
+        held, old, new = {name: [] for name in plain}, Rows(), Rows()
+        for seq, lsn, payload in zip(*[c.to_pylist() for c in part.columns], strict=True):
+            if not payload:
+                continue
+            kind = chr(payload[0])
+            found = {"arrival_seq": seq, "lsn_start": lsn, "kind": kind}
+            try:
+                if kind in "IUD":
+                    found["rel_id"], found["key_kind"] = change_parts(kind, payload, old, new)
+                else:
+                    other = decode(payload)
+                    if other is None:
+                        continue
+                    found |= other
+                    old.none()
+                    new.none()
+            except Malformed as e:
+                found["fault"] = str(e)
+                old.none()
+                new.none()
+            for name in plain:
+                held[name].append(found.get(name))
+        arrays = {name: pa.array(values, schema.field(name).type) for name, values in held.items()} | {"old": old.array(), "new": new.array()}
+        return pa.RecordBatch.from_arrays([arrays[name] for name in MESSAGE], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for seq, lsn, payload in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                try:
-                    found = decode(payload or b"")
-                except Malformed as e:
-                    found = {"kind": chr(payload[0]), "fault": str(e)}
-                if found:
-                    rows.append({"arrival_seq": seq, "lsn_start": lsn, **found})
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            for at in range(0, b.num_rows, AT_ONCE):
+                yield batch(b.slice(at, AT_ONCE))
 
-    return frames.select("arrival_seq", "lsn_start", "payload").mapInArrow(work, ", ".join(f"{name} {kind}" for name, kind in MESSAGE.items()))
+    frames = frames.select("arrival_seq", "lsn_start", "payload")
+    cores = frames.sparkSession.sparkContext.defaultParallelism
+    if spread and not frames.isStreaming and frames.rdd.getNumPartitions() < cores:
+        frames = frames.repartition(cores)
+    return frames.mapInArrow(work, ", ".join(f"{name} {kind}" for name, kind in MESSAGE.items()))
 
 
 def numeric(data: bytes) -> Decimal | None:
@@ -186,57 +275,41 @@ def numeric(data: bytes) -> Decimal | None:
 
 
 def value(tag: str, data: bytes | None, oid: int):
-    """A cell as a Python value of its type. Wrong lengths give the type's default, bad text None."""
-    if tag not in "tb" or data is None:
+    """A binary cell of PYTHON_OIDS as a Python value. Wrong lengths give the type's default."""
+    if tag != "b" or data is None:
         return None
-    if tag == "b":
-        sizes = {16: "?", 20: "q", 21: "h", 23: "i", 700: "f", 701: "d", 1082: "i", 1114: "q", 1184: "q"}
-        form = sizes.get(oid)
-        if form:
-            right = len(data) == struct.calcsize(">" + form)
-            raw = struct.unpack(">" + form, data)[0] if right else None
-            if oid == 1082:
-                return date(2000, 1, 1) + timedelta(days=raw) if right else date(1970, 1, 1)
-            if oid in (1114, 1184):
-                at = EPOCH + timedelta(microseconds=raw) if right else datetime(1970, 1, 1, tzinfo=timezone.utc)
-                return at if oid == 1184 else at.replace(tzinfo=None)
-            return raw if right else 0
-        if oid == 1700:
-            try:
-                return numeric(data)
-            except Malformed:
-                return Decimal(0)
-        if oid == 2950:
-            h = data.hex() if len(data) == 16 else "0" * 32
-            return "-".join((h[:8], h[8:12], h[12:16], h[16:20], h[20:]))
-    return data.decode("utf-8", "replace")
+    if oid == 1700:
+        try:
+            return numeric(data)
+        except Malformed:
+            return Decimal(0)
+    form = {700: ">f", 701: ">d"}[oid]
+    return struct.unpack(form, data)[0] if len(data) == struct.calcsize(form) else 0
+
+
+#: Types whose binary form no expression reads.
+PYTHON_OIDS = (700, 701, 1700)
 
 
 def text_of(tag: str, data: bytes | None, oid: int) -> tuple[str, bytes | None]:
-    """A binary cell as the text cell of the same value, null where a text cell of it would be read as null."""
-    if tag != "b":
+    """A binary cell of PYTHON_OIDS as the text cell of the same value, null where a text cell of it would be read as null."""
+    if tag != "b" or oid not in PYTHON_OIDS:
         return tag, data
-    try:
-        found = value(tag, data, oid)
-    except OverflowError:  # infinite and far dates and times
-        return "n", None
+    found = value(tag, data, oid)
     if found is None:
         return "n", None
-    if isinstance(found, bool):
-        text = "t" if found else "f"
-    elif isinstance(found, datetime):
-        text = found.isoformat(" ")
-    else:
-        text = format(found, "f") if isinstance(found, Decimal) else str(found)
+    text = format(found, "f") if isinstance(found, Decimal) else str(found)
     return "t", text.encode()
 
 
 def text_cells(cells: Column, fields: tuple[model.Field, ...], compact_key: bool = False) -> Column:
-    """``cells`` with binary ones turned to text; rows without binary cells are not handed to Python.
+    """``cells`` with binary ones of PYTHON_OIDS turned to text; rows without binary cells are not handed to Python.
 
     ``compact_key`` is as in :func:`typed_rows`.
     """
     oids, keys = [f.oid for f in fields], [f.oid for f in fields if f.key]
+    if not set(oids) & set(PYTHON_OIDS):
+        return cells
 
     @F.udf(f"array<{CELL}>", useArrow=True)
     def turned(row):
@@ -250,10 +323,35 @@ def text_cells(cells: Column, fields: tuple[model.Field, ...], compact_key: bool
     return F.when(binary, turned(F.when(binary, cells))).otherwise(cells)
 
 
+def binary_value(data: Column, oid: int, kind: str) -> Column:
+    """A binary cell as a value of the Spark type ``kind``; wrong lengths give the type's default."""
+    width = {16: 1, 20: 8, 21: 2, 23: 4, 1082: 4, 1114: 8, 1184: 8, 2950: 16}.get(oid)
+    if not width:
+        return F.make_valid_utf8(data.cast("string")).try_cast(kind)
+    number = F.conv(F.hex(data), 16, -10).cast("long")
+    if width < 8:
+        number = F.when(number >= 1 << (8 * width - 1), number - (1 << 8 * width)).otherwise(number)
+    if oid == 16:
+        found = number != 0
+    elif oid == 1082:
+        # Infinite and far dates and times, beyond the years 1 to 9999, have no value.
+        found = F.date_add(F.lit("2000-01-01").cast("date"), F.when(number.between(-730_119, 2_921_939), number).cast("int"))
+    elif oid in (1114, 1184):
+        near = F.when(number.between(-63_082_281_600_000_000, 252_455_615_999_999_999), number)
+        found = F.timestamp_micros(near + 946_684_800_000_000).cast(kind)
+    elif oid == 2950:
+        text = F.lower(F.hex(data))
+        found = F.concat_ws("-", *[F.substring(text, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    else:
+        found = number.cast(kind)
+    default = F.lit(model.default_text(oid)).cast(kind)
+    return F.when(F.octet_length(data) == width, found).when(data.isNotNull(), default)
+
+
 def typed_rows(cells: Column, fields: tuple[model.Field, ...], compact_key: bool = False) -> Column:
-    """A row's text cells as a typed struct, in DataFrame expressions; unchanged and null cells are null.
+    """A row's cells as a typed struct, in DataFrame expressions; unchanged and null cells are null.
 
-    Binary cells are to be turned by :func:`text_cells` before.
+    Binary cells of PYTHON_OIDS are to be turned by :func:`text_cells` before.
 
     Booleans are ``t``; times with offset are read in UTC. With ``compact_key``
     the row may hold key columns only, as some senders write it.
@@ -267,30 +365,16 @@ def typed_rows(cells: Column, fields: tuple[model.Field, ...], compact_key: bool
         return full
 
     def typed(i: int, f: model.Field) -> Column:
-        text = F.when(cell(i)["tag"] == "t", F.decode(cell(i)["data"], "UTF-8"))
-        if f.oid == 16:
-            return F.when(text.isNotNull(), text == "t")
-        return text.try_cast(model.spark_type(f.oid, f.modifier))
+        kind = model.spark_type(f.oid, f.modifier)
+        text = F.when(cell(i)["tag"] == "t", F.make_valid_utf8(cell(i)["data"].cast("string")))
+        said = F.when(text.isNotNull(), text == "t") if f.oid == 16 else text.try_cast(kind)
+        if f.oid in PYTHON_OIDS:
+            return said
+        return F.when(cell(i)["tag"] == "b", binary_value(cell(i)["data"], f.oid, kind)).otherwise(said)
 
     return F.struct(*[typed(i, f).alias(f.name) for i, f in enumerate(fields)])
 
 
-def binary_rows(rows: DataFrame, column: str, fields: tuple[model.Field, ...]) -> DataFrame:
-    """``rows`` with binary or text cells of ``column`` as a typed struct, for streams in binary mode."""
-    kinds = ", ".join(f"{f.name}: {model.spark_type(f.oid, f.modifier)}" for f in fields)
-    oids = [f.oid for f in fields]
-    names = [f.name for f in fields]
-
-    @F.udf(f"struct<{kinds}>", useArrow=True)
-    def typed(cells):
-        if cells is None:
-            return None
-        got = [value(c["tag"], c["data"], o) for c, o in zip(cells, oids, strict=False)]
-        return dict(zip(names, got + [None] * (len(names) - len(got)), strict=True))
-
-    return rows.withColumn(column, typed(F.col(column)))
-
-
 def encode_row(cells: list) -> bytes:
     """Cells as None, an (tag, bytes) pair, or text."""
     out = [struct.pack(">H", len(cells))]

@@ -67,13 +67,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back.
+def materialise(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` below the shared folder, in folders for each value of ``by``, and read it back.
 
     This cuts the lineage with files that outlive any executor.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by or []).parquet(path)
     read = df.sparkSession.read.schema(df.schema).parquet(path)
     read._tidewell_path = path
     return read

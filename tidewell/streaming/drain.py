@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell import model
+from tidewell import model, store
 from tidewell.operators import bind, merge, normalize
 from tidewell.sources import pgoutput
 from tidewell.sources.tables import Replica
+from tidewell.streaming.position import RELATION
 
 #: Arrival numbers of a block in which transactions are found together.
 ARRIVAL_BLOCK = 100_000
@@ -80,25 +80,32 @@ def check_faults(messages: DataFrame, target: int, after: int = 0) -> None:
         raise FaultyLog(f"{n} malformed messages up to position {target}: {first}")
 
 
-def described(changes: DataFrame, messages: DataFrame, relations: dict[str, model.Relation]) -> DataFrame:
-    """``changes`` with the ``shape`` (text) and ``fields`` of their relation as last described before them.
+def described(changes: DataFrame, messages: DataFrame, relations: dict[str, model.Relation], remembered: DataFrame | None = None) -> DataFrame:
+    """``changes`` with the namespace, name, ``shape`` (text) and ``fields`` of their relation as last described before them.
 
-    ``relations`` hold until the log describes them anew. Fails on a change of
-    an id that is not described.
+    ``relations`` hold until the log describes them anew, and before them those
+    that an earlier run has ``remembered``. Fails on a change of an id that is
+    not described.
     """
-    known = [(r.rel_id, -1, r.namespace, r.name, r.identity, [(f.name, f.oid, f.key, f.modifier) for f in r.fields]) for r in relations.values()]
-    given = changes.sparkSession.createDataFrame(known, f"rel_id bigint, arrival_seq bigint, namespace string, name string, identity string, fields array<{pgoutput.FIELD}>")
-    told = given.unionByName(bind.relations_of(messages)).withColumn("shape", F.to_json("fields"))
     row_changes = changes.where(F.col("kind").isin("I", "U", "D")).drop("namespace", "name", "identity", "fields")
-    return bind.bind_relations(row_changes, told)
+    return bind.bind_relations(row_changes, told(messages, relations, remembered).withColumn("shape", F.to_json("fields")))
 
 
-def shapes_of(bound: DataFrame) -> dict[int, list[tuple[str, tuple[model.Field, ...]]]]:
-    """By relation id the (shape, fields) that its changes in ``bound`` have, the latest last."""
-    rows = bound.groupBy("rel_id", "shape").agg(F.max("arrival_seq").alias("last"), F.first("fields").alias("fields")).collect()
-    found: dict[int, list] = {}
+def told(messages: DataFrame, relations: dict[str, model.Relation], remembered: DataFrame | None = None) -> DataFrame:
+    """All descriptions of relations, each from its arrival on."""
+    known = [(r.rel_id, -2, r.namespace, r.name, r.identity, [(f.name, f.oid, f.key, f.modifier) for f in r.fields]) for r in relations.values()]
+    given = messages.sparkSession.createDataFrame(known, RELATION)
+    if remembered is not None:
+        given = given.unionByName(remembered)
+    return given.unionByName(bind.relations_of(messages))
+
+
+def shapes_of(bound: DataFrame) -> dict[tuple[str, str], list[tuple[str, tuple[model.Field, ...]]]]:
+    """By namespace and name the (shape, fields) that the changes in ``bound`` have, the latest last."""
+    rows = bound.groupBy("namespace", "name", "shape").agg(F.max("arrival_seq").alias("last"), F.first("fields").alias("fields")).collect()
+    found: dict[tuple[str, str], list] = {}
     for r in sorted(rows, key=lambda r: r["last"]):
-        found.setdefault(r["rel_id"], []).append((r["shape"], tuple(model.Field(f["name"], f["oid"], f["key"], f["modifier"]) for f in r["fields"])))
+        found.setdefault((r["namespace"], r["name"]), []).append((r["shape"], tuple(model.Field(f["name"], f["oid"], f["key"], f["modifier"]) for f in r["fields"])))
     return found
 
 
@@ -107,15 +114,16 @@ def columns_of(shapes: list[tuple[str, tuple[model.Field, ...]]], kept: dict[str
     return kept | {f.name: model.spark_type(f.oid, f.modifier) for _, fields in shapes[-1:] for f in fields if f.name not in kept}
 
 
-def changes_of(messages: DataFrame, relation: model.Relation, shapes: list[tuple[str, tuple[model.Field, ...]]] | None = None, columns: dict[str, str] | None = None) -> DataFrame:
+def changes_of(messages: DataFrame, relation: model.Relation, shapes: list[tuple[str, tuple[model.Field, ...]]] | None = None, columns: dict[str, str] | None = None, any_id: bool = False) -> DataFrame:
     """The typed changes of one relation: op, old, new, key_kind, commit_lsn, ordinal, rel_id, and in unsent the columns that new leaves out.
 
     With ``shapes`` each change is read by the fields of its own ``shape`` and
     laid out by name as ``columns`` (name: type). A column that a shape lacks is
     unsent if the latest one has it, as it was added later; else it was dropped
-    and is null.
+    and is null. With ``any_id`` all row changes of ``messages`` are taken as
+    the relation's, else those of its id.
     """
-    own = messages.where((F.col("rel_id") == relation.rel_id) & F.col("kind").isin("I", "U", "D"))
+    own = messages.where(F.col("kind").isin("I", "U", "D") & (F.lit(any_id) | (F.col("rel_id") == relation.rel_id)))
     shapes = shapes or [("", relation.fields)]
     columns = columns or {f.name: model.spark_type(f.oid, f.modifier) for f in relation.fields}
     latest = {f.name for f in shapes[-1][1]}
@@ -142,43 +150,51 @@ def changes_of(messages: DataFrame, relation: model.Relation, shapes: list[tuple
     return own.select(F.col("kind").alias("op"), old.alias("old"), new.alias("new"), "key_kind", "commit_lsn", "ordinal", "rel_id", F.coalesce(by_shape(left_out), F.array()).alias("unsent"))
 
 
-def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int = 0, fresh: set[str] = frozenset()) -> dict[str, int]:
+def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int = 0, fresh: set[str] = frozenset(), remembered: DataFrame | None = None, report: dict | None = None) -> dict[str, int]:
     """Apply one bounded run of the log to the replicas of ``relations`` (by table), as batch ``batch``.
 
     Repeating a run replaces its batch by the same rows. Values that an update
     did not send come from the versions of the other batches and of this one;
     ``fresh`` names tables that were loaded after ``target``. Each change is
-    read as its relation was described when it arrived; columns that the log
-    adds are added to the replica. Malformed messages up to ``target`` stop the
-    run before anything is written. Returns rows by table.
+    read as its relation was described when it arrived, or before the log in
+    ``remembered``; columns that the log adds are added to the replica. Changes
+    go to the configured table of their namespace and name, those of an earlier
+    incarnation of a table are left out. Malformed messages up to ``target``
+    stop the run before anything is written. Returns rows by table.
+
+    ``report`` gets, besides, the changes of tables that are not configured
+    (skipped) or of other incarnations (stale), tables whose replica has
+    another identity than their relation (mismatched), tables whose updates and
+    deletes the source does not log (lost), truncations, which are not applied
+    (truncated), the counters of each table (changes) and the relations as they
+    are described now (relations).
     """
     if after >= target:
         return {}
-    # Decoded once for the checks and all tables.
-    messages = pgoutput.decode_frames(frames(spark, log)).persist(StorageLevel.DISK_ONLY)
-    try:
-        return _apply(spark, messages, replica, relations, target, batch, after, fresh)
-    finally:
-        messages.unpersist()
-
-
-def _apply(spark: SparkSession, messages: DataFrame, replica: Replica, relations: dict[str, model.Relation], target: int, batch: int, after: int, fresh: set[str]) -> dict[str, int]:
+    # Decoded and bound once, for the checks and all tables, and written by table.
+    messages = store.materialise(pgoutput.decode_frames(frames(spark, log)), "messages")
     check_faults(messages, target, after)
-    changes = described(bounded(with_transaction(messages), target, after), messages, relations)
-    shapes = shapes_of(changes)  # fails before anything is written
-    applied = {}
+    inside = bounded(with_transaction(messages), target, after)
+    expected, mismatched, served = {}, [], {}
     for table, relation in relations.items():
-        if not replica.exists(table):
-            continue
-        expected = bind.expected_identity(replica.read(table))
-        if expected not in (None, relation.rel_id):
-            continue
+        if replica.exists(table):
+            expected[table] = bind.expected_identity(replica.read(table))
+            (mismatched.append(table) if expected[table] not in (None, relation.rel_id) else served.update({table: relation}))
+    bound = store.materialise(described(inside, messages, relations, remembered), "bound", ["namespace", "name"])
+    configured = spark.createDataFrame([(r.namespace, r.name, expected[t] or 0) for t, r in served.items()], "namespace string, name string, expected_id bigint")
+    routed = bind.route(bound, configured)
+    changes = bind.drop_stale(routed, configured)
+    if report is not None:
+        report |= reported(messages, inside, bound, routed, changes, configured) | {"mismatched": mismatched, "relations": told(messages, relations, remembered)}
+    shapes, applied = shapes_of(changes), {}  # fails before anything is written
+    for table, relation in served.items():
         key = [f.name for f in relation.fields if f.key]
-        own = shapes.get(relation.rel_id) or [("", relation.fields)]
+        of_table = changes.where((F.col("namespace") == relation.namespace) & (F.col("name") == relation.name))
+        own = shapes.get((relation.namespace, relation.name)) or [("", relation.fields)]
         kept = {n: k for n, k in replica.read(table).dtypes if not n.startswith(model.META)}
         columns = columns_of(own, kept)
         replica.widen(table, {n: k for n, k in columns.items() if n not in kept})
-        rows = normalize.to_versions(changes_of(changes, relation, own, columns), key)
+        rows = normalize.to_versions(changes_of(of_table, relation, own, columns, any_id=True), key)
         if not rows.where(F.size(model.UNSENT) > 0).isEmpty():
             rows = merge.fill_unsent(rows, replica.read(table, but=batch), key, table in fresh)
         replica.write(table, rows, batch)
@@ -186,6 +202,21 @@ def _apply(spark: SparkSession, messages: DataFrame, replica: Replica, relations
     return applied
 
 
+def reported(messages: DataFrame, inside: DataFrame, bound: DataFrame, routed: DataFrame, changes: DataFrame, configured: DataFrame) -> dict[str, list]:
+    """What a run has left out or cannot know, and its counters; a row a table or relation at most."""
+    rows = lambda df: [r.asDict() for r in df.collect()]
+    other = routed.join(bind.checked_broadcast(configured), ["namespace", "name"]).where("expected_id != 0 AND expected_id != rel_id")
+    audited = bind.route(bind.audit_identities(bind.relations_of(messages)).where("changes_lost").distinct(), configured)
+    cut = inside.where("kind = 'T'").select(F.explode("truncated").alias("rel_id")).groupBy("rel_id").agg(F.count("*").alias("times"))
+    return {
+        "skipped": rows(bind.skipped(bound, configured).orderBy("namespace", "name")),
+        "stale": rows(other.groupBy("namespace", "name", "rel_id").agg(F.count("*").alias("changes")).orderBy("namespace", "name", "rel_id")),
+        "lost": [r["name"] for r in audited.orderBy("name").collect()],
+        "truncated": rows(cut.orderBy("rel_id")),
+        "changes": rows(normalize.summary(normalize.counters(changes.select(F.col("kind").alias("op"), "old", F.col("name").alias("table"))))),
+    }
+
+
 def run(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, interval_secs: int | None = None) -> StreamingQuery:
     """Feed micro-batches to ``apply``; without an interval all that is there now, then stop.
 
