@@ -53,12 +53,17 @@ def skipped(changes: DataFrame, tables: DataFrame) -> DataFrame:
     return others.groupBy("namespace", "name").agg(F.count("*").alias("changes"))
 
 
+def identities(rows: DataFrame, rel_id: str = model.REL_ID, by: list[str] | None = None) -> DataFrame:
+    """ids (how many) and first_id of the relation ids other than 0 that rows carry, by table."""
+    return rows.where(F.col(rel_id) != 0).groupBy(*by or []).agg(F.count_distinct(rel_id).alias("ids"), F.min(rel_id).alias("first_id"))
+
+
 def expected_identity(replica: DataFrame) -> int | None:
     """The one relation id that a replica's rows carry; None accepts all. More than one cannot be told apart."""
-    found = [r[0] for r in replica.where(F.col(model.REL_ID) != 0).select(model.REL_ID).distinct().limit(2).collect()]
-    if len(found) > 1:
+    found = identities(replica).first()
+    if found["ids"] > 1:
         raise ValueError("the replica has rows of several relation ids; reload it")
-    return found[0] if found else None
+    return found["first_id"]
 
 
 def drop_stale(changes: DataFrame, expected: DataFrame) -> DataFrame:

@@ -25,6 +25,13 @@ def counts_match(source: Column, replica: Column, strict: bool = False) -> Colum
     return F.when(source > 0, fits).otherwise((replica == 0) if strict else F.lit(True))
 
 
+def exact_counts(source: DataFrame, replica: DataFrame) -> DataFrame:
+    """Rows of both sides (s, r) and whether they agree, in one row."""
+    both = source.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionAll(replica.select(F.lit(0), F.lit(1)))
+    counts = both.agg(*[F.coalesce(F.sum(x), F.lit(0)).cast("long").alias(n) for x, n in (("a", "s"), ("b", "r"))])
+    return counts.withColumn("matches", F.col("s") == F.col("r"))
+
+
 def grouped(rows: DataFrame, key: list[str]) -> DataFrame:
     """By canonical text of the first key column: rows, and a sum of key hashes that no order changes.
 
@@ -87,8 +94,8 @@ def diff_table(table: str, level: str, source: DataFrame, replica: DataFrame | N
         fine = 0.8 <= ratio <= 1.2 if expected > 0 else (not strict or found == 0)
         return Result(table, level, "Match" if fine else "Mismatch", f"estimated {expected}, replica {found}, ratio {ratio:.3f}")
     if level == "exact_count":
-        left, right = source.count(), replica.count()
-        return Result(table, level, "Match" if left == right else "Mismatch", f"source {left}, replica {right}")
+        row = exact_counts(source, replica).first()
+        return Result(table, level, "Match" if row["matches"] else "Mismatch", f"source {row['s']}, replica {row['r']}")
     row = summarise(compare_keys(source, replica, key)).first()
     bad = {k: row[f"{k}_groups"] for k in ("source_only", "dest_only", "count_mismatch", "hash_mismatch")}
     detail = ", ".join(f"{n} {k}" for k, n in bad.items()) + f" groups; {row['source_only_rows']} rows missing, {row['dest_only_rows']} extra"

@@ -30,6 +30,12 @@ def current_columns(rows: DataFrame, key: list[str], columns: list[str], version
     return rows.groupBy(*key).agg(best).where("_best._d = 0").select(*key, *[F.col(f"_best.{c}").alias(c) for c in columns])
 
 
+def row_counts(rows: DataFrame, key: list[str]) -> DataFrame:
+    """raw_rows and current_rows (tombstones counted) of a table of versions, from one aggregation by key."""
+    versions = rows.groupBy(*key).count()
+    return versions.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("raw_rows"), F.count("*").alias("current_rows"))
+
+
 def carry_forward(rows: DataFrame, key: list[str], version: list[str], unchanged: dict[str, str], deleted: str | None = None) -> DataFrame:
     """Fill values that an update did not send with the key's last known value.
 

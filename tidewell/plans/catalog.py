@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell import model, store
+from tidewell.config import Endpoint
 from tidewell.functions import formats, keys, lsn
 from tidewell.operators import bind, diff, merge, normalize
 from tidewell.plans import planner
 from tidewell.sources import pgoutput
+from tidewell.sources.tables import Replica, Source
 from tidewell.streaming import drain
+from tidewell.streaming.position import Progress
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -70,9 +74,7 @@ def lww_composite_key(spark, sf_dir):
 
 @query("SELECT (SELECT count(*) FROM lineitem) AS raw_rows, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS current_rows")
 def raw_vs_current_count(spark, sf_dir):
-    # The row count of a key is its number of versions, so one aggregation gives both.
-    versions = _table(spark, sf_dir, "lineitem").groupBy(*LINE_KEY).count()
-    return versions.agg(F.sum("count").alias("raw_rows"), F.count("*").alias("current_rows"))
+    return merge.row_counts(_table(spark, sf_dir, "lineitem"), LINE_KEY)
 
 
 def _event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +161,7 @@ def stale_identity_filter(spark, sf_dir):
 
 @query(f"SELECT name, count(DISTINCT rel_id) AS ids, min(rel_id) AS first_id FROM {IDENTIFIED} GROUP BY name")
 def expected_identity(spark, sf_dir):
-    return _identified(spark, sf_dir).where("rel_id != 0").groupBy("name").agg(F.count_distinct("rel_id").alias("ids"), F.min("rel_id").alias("first_id"))
+    return bind.identities(_identified(spark, sf_dir), "rel_id", ["name"])
 
 
 @query(f"SELECT * FROM {IDENTIFIED} WHERE name IN ('t0', 't2')")
@@ -211,6 +213,25 @@ def change_counters(spark, sf_dir):
     return normalize.counters(_event_changes(spark, sf_dir))
 
 
+@query(f"""SELECT 't' || user_id % 5 AS "table", {CHANGE_COUNTS} FROM events GROUP BY 1 HAVING count(*) > 0""")
+def change_summary(spark, sf_dir):
+    e = _event_changes(spark, sf_dir).withColumn("table", F.concat(F.lit("t"), (F.coalesce("new", "old")["user_id"] % 5).cast("string")))
+    return normalize.summary(normalize.counters(e))
+
+
+@query("""
+    SELECT event_id, reached, CASE WHEN target > 5000 AND reached > 5000 THEN least((reached - 5000) / (target - 5000) * 100, 100.0) ELSE 0.0 END AS percent,
+    CASE WHEN sent > processed AND event_id > 0 THEN 'flushing' WHEN reached > processed THEN 'decoding' ELSE '' END AS waits_for
+    FROM (SELECT *, greatest(nullif(sent, 0), nullif(ended, 0), nullif(processed, 0)) AS reached FROM
+        (SELECT event_id, event_id * 16 AS processed, event_id % 3 * event_id * 16 AS sent, event_id % 4 * event_id * 10 AS ended, (SELECT max(event_id) * 16 FROM events) AS target FROM events))""")
+def cdc_progress(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").select("event_id")
+    rows = e.withColumns({"processed": F.col("event_id") * 16, "sent": F.col("event_id") % 3 * F.col("event_id") * 16, "ended": F.col("event_id") % 4 * F.col("event_id") * 10})
+    target = F.lit(e.agg(F.max("event_id")).first()[0] * 16)
+    rows = rows.withColumn("reached", lsn.furthest(F.col("sent"), F.col("ended"), F.col("processed")))
+    return rows.select("event_id", "reached", lsn.cdc_percent(F.col("reached"), F.lit(5000), target).alias("percent"), lsn.cdc_bottleneck(F.col("processed"), F.col("sent"), F.col("reached"), F.col("event_id")).alias("waits_for"))
+
+
 def _perturbed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """orders, and a replica of it with missing, moved and surplus rows."""
     o = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
@@ -250,9 +271,7 @@ def diff_top_mismatches(spark, sf_dir):
 
 @query(f"{COMPARED} SELECT s, r, s = r AS matches FROM (SELECT count(*) AS s FROM src), (SELECT count(*) AS r FROM rep)")
 def diff_exact_count(spark, sf_dir):
-    source, replica = _perturbed(spark, sf_dir)
-    both = source.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionAll(replica.select(F.lit(0), F.lit(1)))
-    return both.agg(F.sum("a").cast("long").alias("s"), F.sum("b").cast("long").alias("r")).withColumn("matches", F.col("s") == F.col("r"))
+    return diff.exact_counts(*_perturbed(spark, sf_dir))
 
 
 @query(f"{COMPARED} SELECT s, r, CASE WHEN s > 0 THEN r / s ELSE 1.0 END AS ratio, CASE WHEN s > 0 THEN r / s BETWEEN 0.8 AND 1.2 ELSE true END AS matches FROM (SELECT count(*) AS s FROM src), (SELECT count(*) AS r FROM rep)")
@@ -311,6 +330,13 @@ def plan_table_actions(spark, sf_dir):
     return planner.plan(_stats(spark)).select("table", "action")
 
 
+@query(f"""SELECT "table", has_rows AND readded OR has_rows AND est_rows > 1000 AND max_commit_lsn = 0 AND raw_rows < trunc(est_rows * 0.8) OR NOT table_exists OR NOT has_rows AND est_rows > 0 AS load,
+    CASE WHEN est_rows >= 0 THEN est_rows::VARCHAR ELSE '?' END AS source_shown,
+    CASE WHEN has_rows AND (readded OR est_rows > 1000 AND max_commit_lsn = 0 AND raw_rows < trunc(est_rows * 0.8)) THEN 'STALE' WHEN NOT table_exists THEN '—' WHEN NOT has_rows THEN '0' ELSE '✓' END AS replica_shown FROM {STATS_SQL}""")
+def plan_display(spark, sf_dir):
+    return planner.plan(_stats(spark)).select("table", "load", "source_shown", "replica_shown")
+
+
 @query(f"""SELECT "table", est_rows, raw_rows, est_rows > 1000 AND raw_rows < trunc(est_rows * 0.8) AS suspect FROM {STATS_SQL} WHERE loaded""")
 def integrity_check(spark, sf_dir):
     return planner.integrity(_stats(spark)).select("table", "est_rows", "raw_rows", "suspect")
@@ -321,11 +347,9 @@ COUNTED = ("region", "nation", "supplier", "customer", "part", "orders", "events
 
 @query("SELECT *, (row_number() OVER (ORDER BY est_rows, ordinal))::INT AS place FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS \"table\", {i} AS ordinal, count(*) AS est_rows FROM {t}" for i, t in enumerate(COUNTED)) + ")")
 def load_order(spark, sf_dir):
-    counts = [_table(spark, sf_dir, t).agg(F.count("*").alias("est_rows")).select(F.lit(t).alias("table"), F.lit(i).alias("ordinal"), "est_rows") for i, t in enumerate(COUNTED)]
-    rows = counts[0]
-    for c in counts[1:]:
-        rows = rows.unionAll(c)
-    return planner.load_order(rows)
+    source = Source(spark, Endpoint(path=sf_dir))
+    rows = [(t, i, source.estimated_rows(t)) for i, t in enumerate(COUNTED)]
+    return planner.load_order(spark.createDataFrame(rows, "table string, ordinal int, est_rows long"))
 
 
 @query("SELECT * FROM (VALUES ('public.a'), ('public.b'), ('public.c')) t(name) EXCEPT SELECT 'public.b'")
@@ -415,18 +439,86 @@ def decode_binary_roundtrip(spark, sf_dir):
     return pgoutput.decode_frames(frames).select(pgoutput.typed_rows(F.col("new"), fields).alias("r")).select("r.*")
 
 
+@query("SELECT o_orderkey, round(o_totalprice, 2)::DECIMAL(18,2) AS o_price FROM orders")
+def decode_numeric_roundtrip(spark, sf_dir):
+    """Prices as base-10000 numbers on the wire: two groups before the point and one after."""
+    fields = (CODEC.fields[0], CODEC.fields[3])
+    price = F.round("o_totalprice", 2).cast("decimal(18,2)")
+    cents = (price * 100).cast("long")
+    group = lambda n: F.unhex(F.lpad(F.hex(n.cast("long")), 4, "0"))
+    number = F.concat(F.lit(bytes.fromhex("0003000100000002")), group(F.floor(cents / 1_000_000)), group(F.floor(cents / 100) % 10_000), group(cents % 100 * 100))
+    key = F.concat(F.lit(b"b" + (8).to_bytes(4, "big")), F.unhex(F.lpad(F.hex("o_orderkey"), 16, "0")))
+    payload = F.concat(F.lit(b"I" + (5).to_bytes(4, "big") + b"N" + b"\0\2"), key, F.lit(b"b" + (14).to_bytes(4, "big")), number)
+    frames = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("arrival_seq"), F.col("o_orderkey").alias("lsn_start"), payload.alias("payload"))
+    cells = pgoutput.text_cells(F.col("new"), fields)
+    return pgoutput.decode_frames(frames).select(pgoutput.typed_rows(cells, fields).alias("r")).select("r.*")
+
+
+LOGGED = model.Relation(8, "public", "events", (model.Field("user_id", 20, True), model.Field("event_type", 25), model.Field("value", 701)))
+
+
+def _event_frames(spark: SparkSession, sf_dir: str, turn: int) -> DataFrame:
+    """events as a log, a transaction each: signup inserts, error deletes by key, purchase moves the key up by 1000, click
+    updates with binary cells, view updates and leaves value unsent. From event ``turn`` on the columns are in another order."""
+    e = _table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    fixed = lambda n, width: F.unhex(F.lpad(F.hex(n.cast("long")), 2 * width, "0"))
+    cell = lambda tag, data: F.concat(F.lit(tag.encode()), fixed(F.octet_length(data), 4), data)
+    text = lambda c: F.encode(c.cast("string"), "UTF-8")
+    none, turned = F.lit(b"n"), F.col("event_id") >= turn
+
+    def row(user: Column, kind: Column, value: Column) -> Column:
+        return F.concat(F.lit(b"\0\3"), F.when(turned, F.concat(value, user, kind)).otherwise(F.concat(user, kind, value)))
+
+    user, kind, value = cell("t", text(F.col("user_id"))), cell("t", text(F.col("event_type"))), cell("t", text(F.col("value")))
+    head = lambda op, mark: F.lit(op + LOGGED.rel_id.to_bytes(4, "big") + mark)
+    of = F.col("event_type")
+    change = (
+        F.when(of == "signup", F.concat(head(b"I", b"N"), row(user, kind, value)))
+        .when(of == "error", F.concat(head(b"D", b"K"), row(user, none, none)))
+        .when(of == "purchase", F.concat(head(b"U", b"K"), row(user, none, none), F.lit(b"N"), row(cell("t", text(F.col("user_id") + 1000)), kind, value)))
+        .when(of == "click", F.concat(head(b"U", b"N"), row(cell("b", fixed(F.col("user_id"), 8)), cell("b", text(F.col("event_type"))), value)))
+        .otherwise(F.concat(head(b"U", b"N"), row(user, kind, F.lit(b"u"))))
+    )
+    end = (F.col("event_id") + 1) * 100
+    begin = F.concat(F.lit(b"B"), fixed(end, 8), F.lit(b"\0" * 12))
+    described = F.when(F.col("event_id") == turn, F.lit(pgoutput.encode_relation(replace(LOGGED, fields=(LOGGED.fields[2], *LOGGED.fields[:2])))))
+    parts = e.select("event_id", (end - 100).alias("lsn_start"), end.alias("lsn_end"), F.posexplode(F.array(begin, described, change, F.lit(b"C"))).alias("place", "payload"))
+    return parts.where("payload IS NOT NULL").select((F.col("event_id") * 4 + F.col("place")).alias("arrival_seq"), "lsn_start", "lsn_end", "payload")
+
+
+@query("""
+    WITH versions AS (
+        SELECT user_id, event_id, 0 AS part, 1 AS dead, event_type, value, false AS sent FROM events WHERE event_type IN ('error', 'purchase')
+        UNION ALL SELECT CASE WHEN event_type = 'purchase' THEN user_id + 1000 ELSE user_id END, event_id, 1, 0, event_type, value, event_type != 'view' FROM events WHERE event_type != 'error'),
+    lives AS (SELECT *, coalesce(sum(dead) OVER (PARTITION BY user_id ORDER BY event_id, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life FROM versions),
+    filled AS (SELECT user_id, event_id, part, dead, event_type, last_value(CASE WHEN sent THEN value END IGNORE NULLS) OVER (PARTITION BY user_id, life ORDER BY event_id, part ROWS UNBOUNDED PRECEDING) AS value FROM lives)
+    SELECT user_id, event_type, value FROM filled QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC, part DESC) = 1 AND dead = 0""")
+def drain_log(spark, sf_dir):
+    """The whole path of a mirror: frames are decoded, bound, routed and applied by two bounded runs, the second one from where the first ended."""
+    turn = _table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] // 2
+    log = store.scratch(spark, "event-log")
+    _event_frames(spark, sf_dir, turn).write.parquet(log)
+    replica = Replica(spark, store.scratch(spark, "event-replica"))
+    replica.create("events", spark.createDataFrame([], "user_id long, event_type string, value double").schema)
+    progress = Progress(spark, replica.folder, "events")
+    for target in ((turn // 2 * 3 + 1) * 100, drain.target_position(drain.frames(spark, log))):
+        slot, report = progress.slot(), {}
+        drain.drain(spark, log, replica, {"events": LOGGED}, target, slot.batch + 1, slot.confirmed, remembered=progress.relations(), report=report)
+        progress.acknowledge(slot.batch + 1, target, report["relations"])
+    return merge.current(replica.read("events"), ["user_id"]).select("user_id", "event_type", "value")
+
+
 @query(f"SELECT user_id, event_id, event_type, value FROM ({LAST_EVENT}) WHERE is_deleted = 0")
 def streaming_drain(spark, sf_dir):
-    """The event log as a file stream, appended batch by batch to a table and read back as its current state."""
-    place = store.scratch(spark, "drain")
-    out, checkpoint = f"{place}/rows", f"{place}/checkpoint"
+    """The event log as a file stream, appended batch by batch to a replica and read back as its current state."""
+    replica = Replica(spark, store.scratch(spark, "streamed"))
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    log = stream.select("user_id", "event_id", "event_type", "value", (F.col("event_type") == "error").cast("int").alias("is_deleted"))
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select("user_id", "event_id", "event_type", "value")
+    replica.create("events", stream.schema)
 
     def apply(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        made = {model.REL_ID: F.lit(8), model.SYNCED_AT: F.current_timestamp(), model.IS_DELETED: (F.col("event_type") == "error").cast("int"), model.VERSION: model.version(F.col("event_id")), model.UNSENT: F.array()}
+        replica.write("events", rows.withColumns(made), batch)
 
-    drain.run(log, apply, checkpoint).awaitTermination()
-    rows = spark.read.schema(log.schema).parquet(out)
-    return merge.current(rows, ["user_id"], ["event_id"], "is_deleted").select("user_id", "event_id", "event_type", "value")
+    drain.run(stream, apply, store.scratch(spark, "stream-state")).awaitTermination()
+    return merge.current(replica.read("events"), ["user_id"]).select("user_id", "event_id", "event_type", "value")
