@@ -199,3 +199,19 @@ def test_an_empty_replica_is_loaded_if_the_source_has_rows(spark):
     rows = [("a", True, False, -1, None, 0, False, True), ("b", True, False, -1, None, 0, False, False)]
     stats = spark.createDataFrame(rows, "table string, table_exists boolean, has_rows boolean, est_rows long, max_commit_lsn long, raw_rows long, readded boolean, source_has_rows boolean")
     assert [r["action"] for r in planner.plan(stats).orderBy("table").collect()] == ["LOAD", "SKIP (empty)"]
+
+
+def test_a_rewrite_that_ends_early_leaves_the_table(spark, tmp_path):
+    loaded(spark, tmp_path, [(1, 1, "one"), (2, 2, "two")])
+    replica = Replica(spark, f"{tmp_path}/dst")
+
+    def broken(rows):
+        return rows.withColumn("id", F.raise_error(F.lit("stop")).cast("int"))
+
+    with pytest.raises(Exception, match="stop"):
+        replica.rewrite("notes", broken)
+    assert [r[0] for r in live(spark, tmp_path, "notes", ["id"])] == [1, 2]
+    replica.rewrite("notes", lambda rows: rows.where("id = 2"))
+    assert [r[0] for r in live(spark, tmp_path, "notes", ["id"])] == [2]
+    replica.truncate("notes")
+    assert replica.read("notes").count() == 0

@@ -6,19 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell import model
-
-#: Relation descriptions and configured tables are counted before they are broadcast.
-BROADCAST_ROWS = 100_000
+from tidewell.store import small_or_shuffled
 
 # Labels of replica identities.
 IDENTITIES = {"d": "default", "f": "full", "n": "nothing", "i": "index"}
 
 
-def checked_broadcast(small: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint where a count proves the side small; a larger one is joined by a shuffle."""
-    return F.broadcast(small) if small.limit(most + 1).count() <= most else small
-
-
 def relations_of(messages: DataFrame) -> DataFrame:
     """The relation descriptions among decoded messages, each valid from its arrival on."""
     return messages.where("kind = 'R'").select("rel_id", "arrival_seq", "namespace", "name", "identity", "fields")
@@ -32,7 +25,7 @@ def bind_relations(changes: DataFrame, relations: DataFrame, strict: bool = True
     """
     order = Window.partitionBy("_rel").orderBy("_from")
     spans = relations.withColumnsRenamed({"rel_id": "_rel", "arrival_seq": "_from"}).withColumn("_to", F.lead("_from").over(order))
-    joined = changes.join(checked_broadcast(spans), (F.col("rel_id") == F.col("_rel")) & (F.col("arrival_seq") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("arrival_seq") < F.col("_to"))), "left")
+    joined = changes.join(small_or_shuffled(spans), (F.col("rel_id") == F.col("_rel")) & (F.col("arrival_seq") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("arrival_seq") < F.col("_to"))), "left")
     if strict:
         missing = F.raise_error(F.concat(F.lit("no description of relation "), F.col("rel_id").cast("string")))
         # Part of a column that every reader needs, so the check is not pruned.
@@ -44,12 +37,12 @@ def bind_relations(changes: DataFrame, relations: DataFrame, strict: bool = True
 
 def route(changes: DataFrame, tables: DataFrame) -> DataFrame:
     """The changes of configured tables (namespace, name)."""
-    return changes.join(checked_broadcast(tables.select("namespace", "name").distinct()), ["namespace", "name"], "left_semi")
+    return changes.join(small_or_shuffled(tables.select("namespace", "name").distinct()), ["namespace", "name"], "left_semi")
 
 
 def skipped(changes: DataFrame, tables: DataFrame) -> DataFrame:
     """Changes by table that no configuration names, for the report."""
-    others = changes.join(checked_broadcast(tables.select("namespace", "name").distinct()), ["namespace", "name"], "left_anti")
+    others = changes.join(small_or_shuffled(tables.select("namespace", "name").distinct()), ["namespace", "name"], "left_anti")
     return others.groupBy("namespace", "name").agg(F.count("*").alias("changes"))
 
 
@@ -72,7 +65,7 @@ def drop_stale(changes: DataFrame, expected: DataFrame) -> DataFrame:
     ``expected`` (namespace, name, expected_id) has a row a table whose id is
     known; id 0 accepts all.
     """
-    known = checked_broadcast(expected.where("expected_id != 0"))
+    known = small_or_shuffled(expected.where("expected_id != 0"))
     joined = changes.join(known, ["namespace", "name"], "left")
     return joined.where("expected_id IS NULL OR expected_id = rel_id").drop("expected_id")
 

@@ -13,6 +13,8 @@ from tidewell.config import Endpoint
 from tidewell.store import exists, file_system, remove
 
 BATCH = model.META + "batch"
+#: The mark of a folder that a rewrite has filled; Spark skips files of such names.
+COMPLETE = "_complete"
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -77,6 +79,16 @@ class Replica:
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
 
+    def data(self, table: str) -> str:
+        """The folder of a table's rows: the last one that a rewrite has completed, at first ``data-0``."""
+        fs, target = file_system(self.spark, self.path(table))
+        done = [0]
+        for entry in fs.listStatus(target) if fs.exists(target) else []:
+            name = entry.getPath().getName()
+            if name.startswith("data-") and exists(self.spark, f"{self.path(table)}/{name}/{COMPLETE}"):
+                done.append(int(name[5:]))
+        return f"{self.path(table)}/data-{max(done)}"
+
     def exists(self, table: str) -> bool:
         return exists(self.spark, self.path(table) + "/_schema")
 
@@ -102,7 +114,7 @@ class Replica:
         for name in (model.REL_ID, model.UNSENT):
             if name not in schema.names:
                 schema = StructType([*schema, *StructType().add(name, model.META_TYPES[name])])
-        path = self.path(table) + "/data"
+        path = self.data(table)
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(StructType([*schema, *StructType().add(BATCH, "long")])).parquet(path)
@@ -113,15 +125,34 @@ class Replica:
         """Put ``rows`` in place of the batch's earlier rows. Columns are matched by name."""
         schema = self.spark.read.parquet(self.path(table) + "/_schema").schema
         ordered = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
-        ordered.write.mode("overwrite").parquet(f"{self.path(table)}/data/{BATCH}={batch}")
+        ordered.write.mode("overwrite").parquet(f"{self.data(table)}/{BATCH}={batch}")
+
+    def written(self, table: str, batch: int) -> int:
+        """Rows of a batch, from the footers of its files."""
+        path = f"{self.data(table)}/{BATCH}={batch}"
+        return self.spark.read.parquet(path).count() if exists(self.spark, path) else 0
 
     def truncate(self, table: str) -> None:
-        remove(self.spark, self.path(table) + "/data")
+        path = self.data(table)
+        for batch in self._entries(path):
+            if batch.startswith(BATCH):
+                remove(self.spark, f"{path}/{batch}")
+
+    def _entries(self, path: str) -> list[str]:
+        fs, target = file_system(self.spark, path)
+        return [e.getPath().getName() for e in fs.listStatus(target)] if fs.exists(target) else []
 
     def rewrite(self, table: str, change: Callable[[DataFrame], DataFrame], batch: int = 0) -> None:
-        """Replace all rows by ``change`` of them, through a second folder that is moved into place."""
-        fresh = self.path(table) + "/fresh"
-        change(self.read(table)).write.mode("overwrite").parquet(f"{fresh}/{BATCH}={batch}")
-        self.truncate(table)
-        fs, source = file_system(self.spark, fresh)
-        fs.rename(source, file_system(self.spark, self.path(table) + "/data")[1])
+        """Replace all rows by ``change`` of them.
+
+        They are written to a new folder, which counts from the moment on that
+        its mark is there; so a rewrite that ends early leaves the table as it
+        was, and the old folder goes last.
+        """
+        old = self.data(table)
+        fresh = f"{self.path(table)}/data-{int(old.rpartition('-')[2]) + 1}"
+        remove(self.spark, fresh)
+        change(self.read(table)).write.parquet(f"{fresh}/{BATCH}={batch}")
+        fs, mark = file_system(self.spark, f"{fresh}/{COMPLETE}")
+        fs.create(mark).close()
+        remove(self.spark, old)

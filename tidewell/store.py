@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _owned: dict[str, object] = {}
 
@@ -85,3 +86,14 @@ def discard(*tables: DataFrame) -> None:
         remove(t.sparkSession, t._tidewell_path)
     if tables:
         tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
+#: A side of a join is broadcast if it has no more rows and, written as text, no more bytes than these.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
+
+
+def small_or_shuffled(lookup: DataFrame) -> DataFrame:
+    """``lookup`` with a broadcast hint if its counted rows and bytes prove it small; a larger one is joined by a shuffle."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in lookup.columns])))
+    rows, size = lookup.limit(BROADCAST_ROWS + 1).select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
+    return F.broadcast(lookup) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else lookup

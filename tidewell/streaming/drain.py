@@ -198,14 +198,14 @@ def drain(spark: SparkSession, log: str, replica: Replica, relations: dict[str,
         if not rows.where(F.size(model.UNSENT) > 0).isEmpty():
             rows = merge.fill_unsent(rows, replica.read(table, but=batch), key, table in fresh)
         replica.write(table, rows, batch)
-        applied[table] = spark.read.parquet(f"{replica.path(table)}/data/_tw_batch={batch}").count()
+        applied[table] = replica.written(table, batch)
     return applied
 
 
 def reported(messages: DataFrame, inside: DataFrame, bound: DataFrame, routed: DataFrame, changes: DataFrame, configured: DataFrame) -> dict[str, list]:
     """What a run has left out or cannot know, and its counters; a row a table or relation at most."""
     rows = lambda df: [r.asDict() for r in df.collect()]
-    other = routed.join(bind.checked_broadcast(configured), ["namespace", "name"]).where("expected_id != 0 AND expected_id != rel_id")
+    other = routed.join(store.small_or_shuffled(configured), ["namespace", "name"]).where("expected_id != 0 AND expected_id != rel_id")
     audited = bind.route(bind.audit_identities(bind.relations_of(messages)).where("changes_lost").distinct(), configured)
     cut = inside.where("kind = 'T'").select(F.explode("truncated").alias("rel_id")).groupBy("rel_id").agg(F.count("*").alias("times"))
     return {
