@@ -1,6 +1,7 @@
 """The mirror applies all that the log says, or stops."""
 
 import struct
+from dataclasses import replace
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -215,3 +216,23 @@ def test_a_rewrite_that_ends_early_leaves_the_table(spark, tmp_path):
     assert [r[0] for r in live(spark, tmp_path, "notes", ["id"])] == [2]
     replica.truncate("notes")
     assert replica.read("notes").count() == 0
+
+
+def test_a_database_of_views_shows_current_rows(spark, tmp_path):
+    loaded(spark, tmp_path, [(1, 1, "one"), (2, 2, "two")])
+    log = Log()
+    log.transaction(10, change("U", [1, 10, "uno"]), change("D", old=[2, None, None]))
+    drained(spark, tmp_path, log, 10)
+    Replica(spark, f"{tmp_path}/dst").register("mirrored", {"notes": ["id"]})
+    assert [tuple(r) for r in spark.sql("SELECT * FROM mirrored.notes").collect()] == [(1, 10, "uno")]
+    spark.sql("DROP DATABASE mirrored CASCADE")
+
+
+def test_following_a_log(spark, tmp_path):
+    source(spark, tmp_path, "notes", [(1, 1, "one")], "id int, rank int, body string")
+    cfg = run({"notes": ["id"]}, tmp_path)
+    log = Log()
+    log.transaction(10, change("U", [1, 10, "uno"]))
+    path = log.write(spark, tmp_path / "log")
+    mirror.follow(spark, replace(cfg, settings=replace(cfg.settings, flush_interval_secs=1, timeout_secs=40)), {"notes": NOTES}, path, f"{tmp_path}/state")
+    assert live(spark, tmp_path, "notes", ["id"]) == [(1, 10, "uno")]

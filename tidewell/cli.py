@@ -1,4 +1,4 @@
-"""Command line: ``python -m tidewell.cli diff --config FILE`` and ``mirror --config FILE --log PATH``."""
+"""Command line: ``python -m tidewell.cli diff --config FILE``, ``mirror --config FILE --log PATH --relations FILE`` and ``follow``, which goes on."""
 
 from __future__ import annotations
 
@@ -22,10 +22,11 @@ def relations_of(path: str) -> dict[str, model.Relation]:
 
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidewell")
-    parser.add_argument("command", choices=("mirror", "diff"))
+    parser.add_argument("command", choices=("mirror", "follow", "diff"))
     parser.add_argument("--config", required=True)
-    parser.add_argument("--log", help="folder of log frames (mirror)")
-    parser.add_argument("--relations", help="JSON file of relation descriptions (mirror)")
+    parser.add_argument("--log", help="folder of log frames (mirror, follow)")
+    parser.add_argument("--relations", help="JSON file of relation descriptions (mirror, follow)")
+    parser.add_argument("--checkpoint", help="folder of the stream's state (follow)")
     parser.add_argument("--plain", action="store_true", help="one line a table instead of JSON")
     given = parser.parse_args(args)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").config("spark.scheduler.mode", "FAIR").getOrCreate()
@@ -33,6 +34,9 @@ def main(args: list[str] | None = None) -> int:
     if given.command == "mirror":
         print(json.dumps(mirror.mirror(spark, run, relations_of(given.relations), given.log), default=str))
         return 0
+    if given.command == "follow":
+        mirror.follow(spark, run, relations_of(given.relations), given.log, given.checkpoint)
+        return 0
     results = mirror.compare(spark, run)
     for r in results:
         print(f"{r.table} {r.level} {r.status}: {r.detail}" if given.plain else json.dumps(vars(r)))

@@ -13,7 +13,7 @@ from tidewell.config import Endpoint
 from tidewell.functions import formats, keys, lsn
 from tidewell.operators import bind, diff, merge, normalize
 from tidewell.plans import planner
-from tidewell.sources import pgoutput
+from tidewell.sources import lookups, pgoutput
 from tidewell.sources.tables import Replica, Source
 from tidewell.streaming import drain
 from tidewell.streaming.position import Progress
@@ -352,6 +352,33 @@ def load_order(spark, sf_dir):
     return planner.load_order(spark.createDataFrame(rows, "table string, ordinal int, est_rows long"))
 
 
+KEYS = {"orders": ["o_orderkey"], "lineitem": ["l_linenumber", "l_orderkey"], "events": []}
+
+
+@query("""
+    SELECT t."table", (list_position(k, column_name) - 1)::INT AS place, column_name AS name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' END AS type
+    FROM (VALUES ('orders', ['o_orderkey']), ('lineitem', ['l_linenumber', 'l_orderkey'])) t("table", k) JOIN information_schema.columns c ON c.table_name = t."table" AND list_contains(k, column_name)""")
+def key_discovery(spark, sf_dir):
+    """Keys of driver tables, from a catalogue made of their columns; the second index of a table is no key."""
+    attributes, indexes, kinds = [], [], {}
+    for rel, (table, key) in enumerate(KEYS.items()):
+        dtypes = _table(spark, sf_dir, table).dtypes
+        names = [n for n, _ in dtypes]
+        attributes += [(rel, i + 1, n, kinds.setdefault(k, len(kinds))) for i, (n, k) in enumerate(dtypes)]
+        indexes += [(rel, True, [names.index(n) + 1 for n in key])] * bool(key) + [(rel, False, [1, 2])]
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    found = lookups.key_columns(frame(indexes, "indrelid long, indisprimary boolean, indkey array<int>"), frame(attributes, "attrelid long, attnum int, attname string, atttypid long"), frame([(o, k) for k, o in kinds.items()], "oid long, typname string"))
+    tables = F.element_at(F.array(*[F.lit(t) for t in KEYS]), (F.col("rel_id") + 1).cast("int"))
+    return found.select(tables.alias("table"), "place", "name", "type")
+
+
+@query("SELECT event_id AS pid, event_type AS state, event_id * 16 AS sent_lsn FROM events WHERE props LIKE '%7%' AND event_type != 'view'")
+def sender_lookup(spark, sf_dir):
+    e = _table(spark, sf_dir, "events")
+    replication = e.where("event_type != 'view'").select(F.col("event_id").alias("pid"), F.col("event_type").alias("state"), (F.col("event_id") * 16).alias("sent_lsn"))
+    return lookups.senders(replication, e.select(F.col("event_id").alias("pid"), F.col("props").alias("query")), "7")
+
+
 @query("SELECT * FROM (VALUES ('public.a'), ('public.b'), ('public.c')) t(name) EXCEPT SELECT 'public.b'")
 def publication_delta(spark, sf_dir):
     names = lambda *n: spark.createDataFrame([(x,) for x in n], "name string")

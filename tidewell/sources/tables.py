@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from tidewell import model
 from tidewell.config import Endpoint
+from tidewell.sources import lookups
 from tidewell.store import exists, file_system, remove
 
 BATCH = model.META + "batch"
@@ -70,6 +71,17 @@ class Source:
         return row["n"] if row and row["n"] is not None else -1
 
 
+    def primary_key(self, table: str) -> list[str]:
+        """Columns of the primary key by the source's catalogue; parquet tables declare none."""
+        if self.at.path:
+            return []
+        of = f"\"{self.at.schema}\".\"{table}\"".replace("'", "''")
+        indexes = self.query(f"SELECT indrelid::bigint AS indrelid, indisprimary, indkey::int[] AS indkey FROM pg_index WHERE indrelid = '{of}'::regclass")
+        attributes = self.query(f"SELECT attrelid::bigint AS attrelid, attnum::int AS attnum, attname::text AS attname, atttypid::bigint AS atttypid FROM pg_attribute WHERE attrelid = '{of}'::regclass")
+        types = self.query("SELECT oid::bigint AS oid, typname::text AS typname FROM pg_type")
+        return [r["name"] for r in lookups.key_columns(indexes, attributes, types).collect()]
+
+
 class Replica:
     """Append-only tables of versioned rows below a folder, one partition a batch, so a repeated batch replaces itself."""
 
@@ -132,6 +144,16 @@ class Replica:
         path = f"{self.data(table)}/{BATCH}={batch}"
         return self.spark.read.parquet(path).count() if exists(self.spark, path) else 0
 
+    def register(self, database: str, keys: dict[str, list[str]]) -> None:
+        """Create the database if it is missing, and in it a view of the current rows of each table (with its key)."""
+        quoted = lambda name: "`" + name.replace("`", "``") + "`"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+        for table, key in keys.items():
+            columns = ", ".join(quoted(c) for c in data_columns(self.read(table)))
+            by = ", ".join(map(quoted, key))
+            ranked = f"SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {model.VERSION} DESC) AS _rank FROM parquet.{quoted(self.data(table))}"
+            self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(database)}.{quoted(table)} AS SELECT {columns} FROM ({ranked}) WHERE _rank = 1 AND {model.IS_DELETED} = 0")
+
     def truncate(self, table: str) -> None:
         path = self.data(table)
         for batch in self._entries(path):
