@@ -230,5 +230,15 @@ def run(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint:
 
 
 def flush_batches(rows: DataFrame, order: str, size: int) -> DataFrame:
-    """Number the flush that each row belongs to when every ``size`` rows are flushed."""
-    return rows.withColumn("flush", F.floor((F.row_number().over(Window.orderBy(order)) - 1) / F.lit(size)))
+    """Number the flush that each row belongs to when every ``size`` rows in ``order`` are flushed.
+
+    Rows are dealt by ranges of ``order`` and numbered inside a range; only the
+    counts of the ranges are put in order as a whole.
+    """
+    ranged = store.materialise(rows.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    numbered = ranged.join(store.small_or_shuffled(starts), "_range").withColumn("_place", place)
+    return numbered.withColumn("flush", F.floor((F.col("_start") + F.col("_place")) / F.lit(size))).select(*rows.columns, "flush")
