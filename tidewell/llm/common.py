@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.store import discard, materialise, remove, scratch, shared_dir
+from tidewell.store import discard, materialise, remove, scratch, shared_dir, small_or_shuffled
 
 __all__ = ["LABELLED_ROWS", "SPACE", "discard", "held_out", "let", "materialise", "n_words", "remove", "scratch", "shared_dir", "small_or_shuffled", "table", "text_or_empty", "words"]
 
@@ -30,15 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of a lookup table that is broadcast at most; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 20_000
-
-
-def small_or_shuffled(lookup: DataFrame) -> DataFrame:
-    """``lookup`` with a broadcast hint if a count proves it small; materialise it before."""
-    return F.broadcast(lookup) if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lookup
-
-
 def let(value: Column, body) -> Column:
     """``body`` of a lambda variable bound to ``value``, which is then computed once a row."""
     return F.transform(F.array(value), body)[0]

@@ -56,7 +56,7 @@ from tidewell.llm import common
 from tidewell.llm.components import components
 from tidewell.llm.wordhash import WordHasher, chunks, mix
 
-COUNTERS = 1 << 22
+COUNTER_BITS = 21
 SLICES = 16
 #: Shares of all postings that the shingles above the bounds hold: beyond the first, pairs; beyond the second, threes.
 FREQUENT = (1 / 8, 1 / 64)
@@ -84,6 +84,11 @@ def errors(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den)
 
 
+def counter_of(found: np.ndarray) -> np.ndarray:
+    """The counter of each shingle hash."""
+    return (found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
 def bounds(counters: np.ndarray) -> tuple[int, ...]:
     """For each share of FREQUENT the least count above which shingles hold no more than that share of all postings."""
     counts, times = np.unique(counters[counters > 0], return_counts=True)
@@ -198,7 +203,7 @@ def _sets_of(docs: DataFrame, k: int, of: Callable[[np.ndarray, np.ndarray], lis
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for b in batches:
-            for _, part in chunks([t or b"" for t in b.column(0).to_pylist()]):
+            for _, part in chunks(b.column(0)):
                 yield pa.RecordBatch.from_arrays(of(*hasher.shingles(part, k)), [c.split()[0] for c in schema.split(", ")])
 
     return docs.select(F.col("text").cast("string").cast("binary")).mapInArrow(work, schema)
@@ -209,13 +214,14 @@ def shingle_sets(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     kind = docs.schema["doc_id"].dataType
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table, ids = WordHasher(), np.zeros(COUNTERS, np.uint32), None
+        hasher, table, ids = WordHasher(), np.zeros(1 << COUNTER_BITS, np.uint32), None
         names = ["doc_id", "n", "sid", "check", "bits", "slice", "counts"]
         for b in batches:
-            texts, ids = [t or b"" for t in b.column(1).to_pylist()], b.column(0)
-            for start, part in chunks(texts):
+            ids = b.column(0)
+            for start, part in chunks(b.column(1)):
                 found, sizes = hasher.shingles(part, k)
-                table += np.bincount((found >> np.uint64(42)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                at, times = np.unique(counter_of(found), return_counts=True)
+                table[at] += times.astype(np.uint32)
                 sid, check = set_ids(found, sizes)
                 blank = [pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())]
                 bits = pa.array([bitmap(own) for own in np.split(found, np.cumsum(sizes)[:-1])], pa.binary())
@@ -238,7 +244,7 @@ def shingle_sets(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
 
     tables = rows.where("slice IS NOT NULL").select("slice", "counts")
     tables = tables.repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary")
-    whole = np.zeros((SLICES, COUNTERS // SLICES), np.uint32)
+    whole = np.zeros((SLICES, (1 << COUNTER_BITS) // SLICES), np.uint32)
     for r in tables.collect():
         whole[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
     return rows.where("slice IS NULL").select("doc_id", "n", "sid", "check", "bits"), whole.ravel()
@@ -249,7 +255,7 @@ def postings(docs: DataFrame, counters, k: int, num: int, den: int, longer: int
 
     def sign(found: np.ndarray, sizes: np.ndarray) -> list:
         table, frequent = counters.value
-        counts, (sid, _), ends = table[(found >> np.uint64(42)).astype(np.int64)], set_ids(found, sizes), np.cumsum(sizes)
+        counts, (sid, _), ends = table[counter_of(found)], set_ids(found, sizes), np.cumsum(sizes)
         made = [signatures(found[e - n : e], counts[e - n : e], frequent, num, den, longer)[0] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
         return [pa.array(np.concatenate(made).view(np.int64)), pa.array(np.repeat(sid, [len(x) for x in made]))]
 

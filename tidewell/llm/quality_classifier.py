@@ -170,8 +170,8 @@ def train(rated: DataFrame, levels: int, max_rows: int = common.LABELLED_ROWS, t
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for b in batches:
-            texts, grades = [t.encode() for t in b.column(0).to_pylist()], b.column(1).to_pylist()
-            for start, part in chunks(texts):
+            grades = b.column(1).to_pylist()
+            for start, part in chunks(b.column(0).cast(pa.binary())):
                 row, column, value = features(part, hasher)
                 cut = np.searchsorted(row, np.arange(1, len(part)))
                 ids, weights = np.split(column.astype(np.int32), cut), np.split(value.astype(np.float32), cut)
@@ -200,9 +200,8 @@ def rate(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bar: int = 1) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (weights, thresholds), hasher = shared.value, WordHasher()
         for b in batches:
-            texts = [(t or "").encode() for t in b.column(at).to_pylist()]
-            scores = np.zeros(len(texts))
-            for start, part in chunks(texts):
+            scores = np.zeros(b.num_rows)
+            for start, part in chunks(b.column(at).cast(pa.binary())):
                 row, column, value = features(part, hasher)
                 scores[start : start + len(part)] = np.bincount(row, weights[column] * value, len(part))
             tail = tails(scores, thresholds)

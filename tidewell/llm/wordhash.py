@@ -13,20 +13,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about ``limit`` bytes (a longer text comes alone), with the first one's index."""
-    start, total = 0, 0
-    for i, text in enumerate(texts):
-        if total and total + len(text) > limit:
-            yield start, texts[start:i]
+def chunks(texts: pa.Array, limit: int | None = None) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of binary texts of about ``limit`` bytes (a longer text comes alone), with the first one's index; a null is empty.
+
+    Texts are taken out of the column run by run, so a batch is not there twice.
+    """
+    limit, start, total = limit or CHUNK_BYTES, 0, 0
+    taken = lambda end: (start, [t or b"" for t in texts.slice(start, end - start).to_pylist()])
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if total and total + size > limit:
+            yield taken(i)
             start, total = i, 0
-        total += len(text) + 1
+        total += size + 1
     if start < len(texts):
-        yield start, texts[start:]
+        yield taken(len(texts))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
