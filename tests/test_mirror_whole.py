@@ -234,5 +234,5 @@ def test_following_a_log(spark, tmp_path):
     log = Log()
     log.transaction(10, change("U", [1, 10, "uno"]))
     path = log.write(spark, tmp_path / "log")
-    mirror.follow(spark, replace(cfg, settings=replace(cfg.settings, flush_interval_secs=1, timeout_secs=40)), {"notes": NOTES}, path, f"{tmp_path}/state")
+    mirror.follow(spark, replace(cfg, settings=replace(cfg.settings, flush_interval_secs=1, timeout_secs=30)), {"notes": NOTES}, path, f"{tmp_path}/state")
     assert live(spark, tmp_path, "notes", ["id"]) == [(1, 10, "uno")]
