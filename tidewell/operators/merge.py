@@ -64,7 +64,9 @@ def fill_unsent(rows: DataFrame, history: DataFrame, key: list[str], fresh: bool
     batches. A source row keeps its values when its key changes: the tombstone
     of the old key and the upsert of the new one share commit position and
     ordinal, so a life of a key that begins with such an upsert goes on from the
-    life that its tombstone ended. A plain tombstone ends a life. Values that
+    life that its tombstone ended. A plain tombstone ends a life. A tombstone
+    of a key that has no live row is a life of its own, so a life has one end
+    and goes on in one other at most. Values that
     nothing earlier holds stay null and marked. ``fresh``: the snapshot was
     taken after all of ``rows``, so where the log has not sent a value the
     snapshot of the new key goes before that of an old key.
@@ -83,7 +85,7 @@ def fill_unsent(rows: DataFrame, history: DataFrame, key: list[str], fresh: bool
     ends = both.where(dead).select(v["commit_lsn"].alias("_c"), v["ordinal"].alias("_o"), F.lit(True).alias("_moved")).distinct()
     both = both.join(ends, (v["commit_lsn"] == F.col("_c")) & (v["ordinal"] == F.col("_o")), "left").drop("_c", "_o")
     after_end = F.coalesce(F.lag(model.IS_DELETED).over(by_key) == 1, F.lit(True))
-    both = both.withColumn("_start", ~dead & (after_end | F.col("_moved").isNotNull())).drop("_moved")
+    both = both.withColumn("_start", after_end | (~dead & F.col("_moved").isNotNull())).drop("_moved")
     both = both.withColumn("_life", F.struct(*key, F.last(F.when(F.col("_start"), v), ignorenulls=True).over(by_key).alias("_from")))
 
     place = lambda deleted, of: both.where(F.col(model.IS_DELETED) == deleted).select(v["commit_lsn"].alias("_c"), v["ordinal"].alias("_o"), F.col("_life").alias(of))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell import model, store
@@ -485,9 +485,13 @@ LOGGED = model.Relation(8, "public", "events", (model.Field("user_id", 20, True)
 
 
 def _event_frames(spark: SparkSession, sf_dir: str, turn: int) -> DataFrame:
-    """events as a log, a transaction each: signup inserts, error deletes by key, purchase moves the key up by 1000, click
-    updates with binary cells, view updates and leaves value unsent. From event ``turn`` on the columns are in another order."""
+    """events as a log, a transaction for each event_id: signup inserts, error deletes by key, purchase moves the key up by 1000,
+    click updates with binary cells, view updates and leaves value unsent. From event ``turn`` on, which must be there, the
+    columns are in another order. Inside a transaction larger users come first, so a key is left before another row moves to it."""
     e = _table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    most = e.groupBy("event_id").count().agg(F.coalesce(F.max("count"), F.lit(1))).first()[0]
+    same = Window.partitionBy("event_id")
+    e = e.withColumns({"nth": F.row_number().over(same.orderBy(F.desc("user_id"), "event_type", "value")), "last": F.count("*").over(same)})
     fixed = lambda n, width: F.unhex(F.lpad(F.hex(n.cast("long")), 2 * width, "0"))
     cell = lambda tag, data: F.concat(F.lit(tag.encode()), fixed(F.octet_length(data), 4), data)
     text = lambda c: F.encode(c.cast("string"), "UTF-8")
@@ -507,10 +511,12 @@ def _event_frames(spark: SparkSession, sf_dir: str, turn: int) -> DataFrame:
         .otherwise(F.concat(head(b"U", b"N"), row(user, kind, F.lit(b"u"))))
     )
     end = (F.col("event_id") + 1) * 100
-    begin = F.concat(F.lit(b"B"), fixed(end, 8), F.lit(b"\0" * 12))
-    described = F.when(F.col("event_id") == turn, F.lit(pgoutput.encode_relation(replace(LOGGED, fields=(LOGGED.fields[2], *LOGGED.fields[:2])))))
-    parts = e.select("event_id", (end - 100).alias("lsn_start"), end.alias("lsn_end"), F.posexplode(F.array(begin, described, change, F.lit(b"C"))).alias("place", "payload"))
-    return parts.where("payload IS NOT NULL").select((F.col("event_id") * 4 + F.col("place")).alias("arrival_seq"), "lsn_start", "lsn_end", "payload")
+    begin = F.when(F.col("nth") == 1, F.concat(F.lit(b"B"), fixed(end, 8), F.lit(b"\0" * 12)))
+    described = F.when((F.col("event_id") == turn) & (F.col("nth") == 1), F.lit(pgoutput.encode_relation(replace(LOGGED, fields=(LOGGED.fields[2], *LOGGED.fields[:2])))))
+    commit = F.when(F.col("nth") == F.col("last"), F.lit(b"C"))
+    parts = e.select("event_id", "nth", (end - 100).alias("lsn_start"), end.alias("lsn_end"), F.posexplode(F.array(begin, described, change, commit)).alias("place", "payload"))
+    place = F.col("place") + F.when(F.col("place") < 2, 0).otherwise(F.col("nth") - 1)
+    return parts.where("payload IS NOT NULL").select((F.col("event_id") * (most + 3) + place).alias("arrival_seq"), "lsn_start", "lsn_end", "payload")
 
 
 @query("""
@@ -522,16 +528,18 @@ def _event_frames(spark: SparkSession, sf_dir: str, turn: int) -> DataFrame:
     SELECT user_id, event_type, value FROM filled QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC, part DESC) = 1 AND dead = 0""")
 def drain_log(spark, sf_dir):
     """The whole path of a mirror: frames are decoded, bound, routed and applied by two bounded runs, the second one from where the first ended."""
-    turn = _table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] // 2
+    ids = _table(spark, sf_dir, "events").select("event_id")
+    half = ids.agg(F.coalesce(F.max("event_id"), F.lit(0))).first()[0] // 2
+    turn = ids.where(F.col("event_id") >= half).agg(F.min("event_id")).first()[0]
     log = store.scratch(spark, "event-log")
     _event_frames(spark, sf_dir, turn).write.parquet(log)
     replica = Replica(spark, store.scratch(spark, "event-replica"))
     replica.create("events", spark.createDataFrame([], "user_id long, event_type string, value double").schema)
     progress = Progress(spark, replica.folder, "events")
-    for target in ((turn // 2 * 3 + 1) * 100, drain.target_position(drain.frames(spark, log))):
+    for target in ((half // 2 * 3 + 1) * 100, drain.target_position(drain.frames(spark, log))):
         slot, report = progress.slot(), {}
         drain.drain(spark, log, replica, {"events": LOGGED}, target, slot.batch + 1, slot.confirmed, remembered=progress.relations(), report=report)
-        progress.acknowledge(slot.batch + 1, target, report["relations"])
+        progress.acknowledge(slot.batch + 1, target, report.get("relations"))
     return merge.current(replica.read("events"), ["user_id"]).select("user_id", "event_type", "value")
 
 
